@@ -8,17 +8,28 @@ is remembered; the memory is bounded.
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 from collections.abc import Callable, Iterable
 
-import numpy as np
-
 #: White space as the tokenizers see it: Python's own class without the four separators U+001C to U+001F.
 _UNIT = re.compile(r"[^\S\x1c-\x1f]*(?:\S|[\x1c-\x1f])+|[^\S\x1c-\x1f]+")
-_UNEVEN = re.compile(r"\s\s|\A\s|\s\Z")
+#: White space other than blanks and line feeds, and what Python takes for such.
+_OTHER = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: A word of Latin letters, which no splitting pattern divides, and a mark that every one of them parts from it.
+_WORD = re.compile("( ?)([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]?)")
 
 #: Longest unit that is remembered, and how many units each of the two generations holds.
-LONGEST, HELD = 48, 150_000
+LONGEST, HELD = 48, 400_000
+
+
+def _uneven(text: str) -> bool:
+    """Whether white space stands at an end, or two of them together, or any other than blanks and line feeds at all."""
+    return (
+        text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text
+        or _OTHER.search(text) is not None
+    )
 
 
 class _Memo(dict):
@@ -50,20 +61,55 @@ class UnitEncoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if _UNEVEN.search(text):
+        if _uneven(text):
             return b"".join(map(self._units.__getitem__, _UNIT.findall(text)))
         first, *rest = text.replace("\n", " \n").split(" ")
         return self._units[first] + b"".join(map(self._spaced.__getitem__, rest))
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it prints, else one from U+0100 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in prints else chr(next(others)) for b in range(256)]
+
+
 def library_encoder(path: str, width: int) -> UnitEncoder:
-    """A ``UnitEncoder`` over a vocabulary file of the tokenizers library; ``width`` bytes for each id."""
+    """A ``UnitEncoder`` over a vocabulary file of the tokenizers library; ``width`` bytes for each id.
+
+    Plain words go straight to the library's model, without its normaliser and splitter, which leave them whole.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    kind = f"<u{width}"
-    return UnitEncoder(lambda unit: np.array(tokenizer.encode(unit, add_special_tokens=False).ids, kind).tobytes())
+    pack = {2: "H", 4: "I"}[width]
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    splitter = parts["pre_tokenizer"] or {}
+    blank_stays = splitter.get("type") == "ByteLevel" and splitter["use_regex"] and not splitter["add_prefix_space"]
+    steps = (parts["normalizer"] or {}).get("normalizers", [])
+    lower = any(s["type"] == "Lowercase" for s in steps)
+    plain = blank_stays and not steps or lower and splitter.get("type") == "Sequence"
+    letters = _byte_letters()
+
+    def whole(unit: str) -> bytes:
+        ids = tokenizer.encode(unit, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}{pack}", *ids)
+
+    marks = {m: whole(m) for m in ("", ".", ",")}
+
+    def make(unit: str) -> bytes:
+        if not plain or not (word := _WORD.fullmatch(unit)):
+            return whole(unit)
+        blank, text, mark = word.groups()
+        text = (blank if blank_stays else "") + (text.lower() if lower else text)
+        if blank_stays or not text.isascii():
+            text = "".join([letters[b] for b in text.encode()])
+        ids = [t.id for t in tokenizer.model.tokenize(text)]
+        return struct.pack(f"<{len(ids)}{pack}", *ids) + marks[mark]
+
+    return UnitEncoder(make)
 
 
 _ENCODERS: dict[tuple[str, int], UnitEncoder] = {}
