@@ -21,7 +21,7 @@ _OTHER = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\
 _WORD = re.compile("( ?)([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]?)")
 
 #: Longest unit that is remembered, and how many units each of the two generations holds.
-LONGEST, HELD = 48, 400_000
+LONGEST, HELD = 48, 300_000
 
 
 def _uneven(text: str) -> bool:
@@ -104,10 +104,15 @@ def library_encoder(path: str, width: int) -> UnitEncoder:
             return whole(unit)
         blank, text, mark = word.groups()
         text = (blank if blank_stays else "") + (text.lower() if lower else text)
+        return words[text] + marks[mark]
+
+    def model_ids(text: str) -> bytes:
         if blank_stays or not text.isascii():
             text = "".join([letters[b] for b in text.encode()])
         ids = [t.id for t in tokenizer.model.tokenize(text)]
-        return struct.pack(f"<{len(ids)}{pack}", *ids) + marks[mark]
+        return struct.pack(f"<{len(ids)}{pack}", *ids)
+
+    words = _Memo(model_ids, HELD)
 
     return UnitEncoder(make)
 
