@@ -112,23 +112,25 @@ class Reassembly:
                 found = {"xid": xid, "txn": pos, "commit": lsn, "csn": 0, "rows": []}
                 self.queue.append(found)
             found["rows"].append([pos, lsn, record])
+        consumed = self.last_lsn  # what this record releases was committed behind it, whatever its own order
         while self.queue and self.queue[0]["commit"] is not None:
             t = self.queue.pop(0)
             known = 0 <= self.snapshot_csn and 0 < t["csn"] <= self.snapshot_csn
-            if not known and not self._is_done(t["commit"]):
+            if not known and not _at_or_before(t["commit"], consumed):
                 for at, row_lsn, row in t["rows"]:
                     yield t["txn"], at, row_lsn, t["xid"], t["commit"], t["csn"], row
             self._done(t["commit"])
 
-    def _is_done(self, lsn: str) -> bool:
-        a, b = lsn_to_int(lsn), lsn_to_int(self.last_lsn)
-        return a is not None and b is not None and a <= b
-
     def _done(self, lsn: str) -> None:
-        if not self._is_done(lsn):
+        if not _at_or_before(lsn, self.last_lsn):
             self.last_lsn = lsn
 
 
+def _at_or_before(lsn: str | None, other: str | None) -> bool:
+    a, b = lsn_to_int(lsn), lsn_to_int(other)
+    return a is not None and b is not None and a <= b
+
+
 def reassemble_stream(changes: DataFrame, snapshot_csn: int = -1, last_lsn: str | None = None) -> DataFrame:
     """Released records of a streaming log of changes (slot, pos, lsn, xid, csn, type, and ``raw``, which comes out
     as ``record``). State is kept for each slot and holds open transactions only; decoding before and formatting
