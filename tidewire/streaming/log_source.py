@@ -88,10 +88,14 @@ _STATE = "held string, last_lsn string"
 
 
 class Reassembly:
-    """The rules by which records become released transactions, one record after the other."""
+    """The rules by which records become released transactions, one record after the other.
 
-    def __init__(self, snapshot_csn: int = -1, last_lsn: str | None = None, queue: list[dict] | None = None):
-        self.snapshot_csn, self.last_lsn, self.queue = snapshot_csn, last_lsn, queue or []
+    ``start`` is where an earlier run had come to: what was committed there or before is dropped. What this run itself
+    has released does not count, as a transaction may be held back by one that is committed after it.
+    """
+
+    def __init__(self, snapshot_csn: int = -1, start: str | None = None, queue: list[dict] | None = None, last_lsn: str | None = None):
+        self.snapshot_csn, self.start, self.queue, self.last_lsn = snapshot_csn, start, queue or [], last_lsn or start
 
     def _open(self, xid: int) -> dict | None:
         return next((t for t in self.queue if t["xid"] == xid and t["commit"] is None), None)
@@ -112,11 +116,10 @@ class Reassembly:
                 found = {"xid": xid, "txn": pos, "commit": lsn, "csn": 0, "rows": []}
                 self.queue.append(found)
             found["rows"].append([pos, lsn, record])
-        consumed = self.last_lsn  # what this record releases was committed behind it, whatever its own order
         while self.queue and self.queue[0]["commit"] is not None:
             t = self.queue.pop(0)
             known = 0 <= self.snapshot_csn and 0 < t["csn"] <= self.snapshot_csn
-            if not known and not _at_or_before(t["commit"], consumed):
+            if not known and not _at_or_before(t["commit"], self.start):
                 for at, row_lsn, row in t["rows"]:
                     yield t["txn"], at, row_lsn, t["xid"], t["commit"], t["csn"], row
             self._done(t["commit"])
@@ -138,7 +141,7 @@ def reassemble_stream(changes: DataFrame, snapshot_csn: int = -1, last_lsn: str
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held, last = state.get if state.exists else ("[]", last_lsn)
-        work = Reassembly(snapshot_csn, last, json.loads(held))
+        work = Reassembly(snapshot_csn, last_lsn, json.loads(held), last)
         rows = pd.concat(frames).sort_values("pos")
         out = []
         for r in rows.itertuples(index=False):
