@@ -221,7 +221,7 @@ def test_jdbc_scan_append_merge(spark, derby):
     assert back.count() == 2
     plan = back.filter("ID = 2").select("NAME")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [*IsNotNull(id), *EqualTo(id,2)]" in plan  # the writer keeps the names as they are
-    split = JdbcOptions(url=derby, table_name="people", driver=options.driver, partition_column="ID", partition_num=2, lower_bound=1, upper_bound=2)
+    split = JdbcOptions(url=derby, table_name="people", driver=options.driver, partition_column="ID", partition_num=2, lower_bound=1, upper_bound=3)
     assert jdbc.scan(spark, split).rdd.getNumPartitions() == 2
     new = spark.createDataFrame([(1, "Alice", None), (3, "Cy", 3)], "id int, name string, age int")
     keep_null = JdbcOptions(url=derby, table_name="people", driver=options.driver, ignore_null=True)
