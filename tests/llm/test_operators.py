@@ -280,6 +280,60 @@ def test_near_copies_go(spark):
     assert kept.columns == frame.columns and {r["doc_id"] for r in kept.collect()} == {*range(40), None}
 
 
+def plain_shingles(text):
+    own = (text or "").lower().split()
+    return {" ".join(own[k : k + 5]) for k in range(max(1, len(own) - 4))} if own else set()
+
+
+def test_near_groups_equal_brute_force(spark):
+    """Fields of texts with ever more words changed: only overlaps of 0.8 or more link, chains included."""
+    draw, texts = random.Random(8), []
+    for base in range(12):
+        own = [f"w{draw.randrange(10**6)}" for _ in range(400)]
+        texts.append(" ".join(own))
+        for changed in (2, 4, 6, 10, 12, 14, 16):  # overlaps from 0.95 to 0.65
+            other = list(own)
+            for k in draw.sample(range(len(own)), changed):
+                other[k] = f"x{draw.randrange(10**6)}"
+            texts.append(" ".join(other))
+    sets = [plain_shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    overlap = lambda a, b: len(a & b) / len(a | b)
+    while True:
+        merged = [min(root[j] for j in range(len(texts)) if i == j or overlap(sets[i], sets[j]) >= 0.8) for i in range(len(texts))]
+        if merged == root:
+            break
+        root = merged
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.one_of_each_group(frame).collect()} == {*root}
+    assert 12 < len({*root}) < len(texts)
+
+
+@pytest.mark.parametrize("tile", [1024, 8])
+def test_exact_links_hold_at_any_tile(spark, tile):
+    own = [f"w{k}" for k in range(60)]
+    texts = [" ".join([*own[:60 - k], *(f"x{k}{i}" for i in range(k))]) for k in range(0, 24, 2)]
+    fps = [simhash._bytes(simhash.fingerprint(t, 5, 4)) for t in texts]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    members = spark.createDataFrame([(bytearray(f), bytearray(b"r"), k) for k, f in enumerate(fps)], "fp binary, root binary, class_id long")
+    links = simhash.exact_links(frame, members, 5, 4, 256, 0.8, tile)
+    roots = {bytes(r["node"]): bytes(r["root"]) for r in simhash.components(links).collect()}
+    sets = [plain_shingles(t) for t in texts]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= 0.8 * len(a | b):
+                assert roots.get(fps[i], fps[i]) == roots.get(fps[j], fps[j])
+    assert len({roots.get(f, f) for f in fps}) > 1
+
+
+def test_overlap_reaches_its_bound():
+    draw = np.random.default_rng(5)
+    for _ in range(300):
+        a, b = (np.unique(draw.integers(0, 40, draw.integers(0, 40)).astype(np.uint64)) for _ in "ab")
+        both = len({*a.tolist()} | {*b.tolist()})
+        assert simhash.overlap_reaches(a, b, 0.8) == (5 * len({*a.tolist()} & {*b.tolist()}) >= 4 * both)
+
+
 def test_simhash_edges(spark, empty):
     assert simhash.simhash_components(empty).count() == 0
     assert simhash.one_of_each_group(empty).count() == 0

@@ -18,15 +18,20 @@ chunks is one tile, so that a hot bucket is spread over many tasks.
 
 Components are found by alternating large and small stars, each round written to the shared folder.
 
+Exact check. ``one_of_each_group`` takes the components that the fingerprints give as candidates only: within each of
+them the classes are compared once more, now with their sets of shingles beside the planes, and a link holds if the
+sets' overlap (Jaccard) reaches ``similarity``. Each class goes there once (in tiles, where a component is large).
+
 Defined results: a null, empty or blank text has the fingerprint zero and is linked like any other; a text of
 fewer words than a shingle has one shingle, its words; repeated rows fall into one class; an empty table gives
-no rows; other columns are not read, and ``one_of_each_group`` hands them on.
+no rows; other columns are not read, and ``one_of_each_group`` hands them on. Texts of one wide fingerprint are one class
+there, and the text of its smallest doc_id stands for them.
 """
 
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +45,8 @@ from .shared import whole_text, written
 SEED = 42
 #: Rows of a bucket that one task compares with each other.
 TILE = 4096
+#: The same where the rows bring their shingles along.
+EXACT_TILE = 1024
 _CHUNK = 1 << 14
 
 
@@ -68,12 +75,17 @@ def fingerprint(text: str, words: int, lanes: int = 1) -> np.ndarray:
     return np.packbits(2 * total > n, bitorder="little").view(np.uint64)
 
 
+def _bytes(fp: np.ndarray) -> bytes:
+    """A fingerprint's bytes, the highest first."""
+    return fp[::-1].astype(">u8").tobytes()
+
+
 def fingerprints(docs: DataFrame, words: int = 3, lanes: int = 1) -> DataFrame:
     """(doc_id, fp): a row for each row of ``docs``; fp as bytes, the highest byte first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py(), words, lanes)[::-1].astype(">u8").tobytes() for t in batch.column(1)]
+            found = [_bytes(fingerprint(t.as_py(), words, lanes)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(run, "doc_id long, fp binary")
@@ -164,8 +176,9 @@ class Planes:
         return plane[at] ^ ahead
 
 
-def star_links(rows: np.ndarray, bucket: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links (row, first row of its component) within each bucket. Rows of one bucket stand together."""
+def star_links(rows: np.ndarray, bucket: np.ndarray, radius: int, holds: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
+    """Links (row, first row of its component) within each bucket. Rows of one bucket stand together. A link counts only if
+    it ``holds``, where that is given."""
     n = len(rows)
     root = np.arange(n)
 
@@ -190,7 +203,7 @@ def star_links(rows: np.ndarray, bucket: np.ndarray, radius: int) -> list[tuple[
             near = np.unpackbits(planes.within(d, radius, _pack(asked)).view(np.uint8), bitorder="little")[: len(a)]
             for i in np.flatnonzero(near).tolist():
                 x, y = top(int(a[i])), top(int(b[i]))
-                if x != y:
+                if x != y and (holds is None or holds(int(a[i]), int(b[i]))):
                     root[max(x, y)] = min(x, y)
             if near.any():
                 while (root[root] != root).any():
@@ -199,6 +212,15 @@ def star_links(rows: np.ndarray, bucket: np.ndarray, radius: int) -> list[tuple[
     return [(i, int(root[i])) for i in np.flatnonzero(root != np.arange(n)).tolist()]
 
 
+def overlap_reaches(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether the overlap (Jaccard) of two sets, given as sorted arrays, is at least ``similarity``."""
+    a, b = (a, b) if len(a) <= len(b) else (b, a)
+    if len(a) + 1e-9 < similarity * len(b):
+        return False
+    common = int(np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a)) if len(a) else 0
+    return common + 1e-9 >= similarity * (len(a) + len(b) - common)
+
+
 def class_links(classes: DataFrame, masks: list[int], lanes: int, radius: int, tile: int = TILE) -> DataFrame:
     """(a, b): links between fingerprints that join what is linked; ``classes`` (fp) has each fingerprint once."""
     words = _lanes(masks, lanes)
@@ -216,10 +238,37 @@ def class_links(classes: DataFrame, masks: list[int], lanes: int, radius: int, t
 
     entries = classes.mapInArrow(keys, "key long, fp binary")
     sizes = written(entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash-buckets")
+    return _tiled_links(entries, sizes, lanes, radius, tile)
+
+
+def exact_links(docs: DataFrame, members: DataFrame, words: int, lanes: int, radius: int, similarity: float, tile: int = EXACT_TILE) -> DataFrame:
+    """(a, b): links between the classes ``members`` (fp, root, class_id) of one component whose shingles overlap by ``similarity``."""
+    members = written(members.select("fp", F.xxhash64("root").alias("key"), "class_id"), "near-classes")
+    asked = members.select("class_id").distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    texts = texts.join(asked, texts["doc_id"].eqNullSafe(asked["class_id"]), "left_semi").select("text")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, held = [], []
+            for text in batch.column(0):
+                text = text.as_py()
+                fps.append(_bytes(fingerprint(text, words, lanes)))
+                held.append(np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, words)])).astype("<u8").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), pa.array(held, pa.binary())], names=["fp", "shingles"])
+
+    entries = texts.mapInArrow(sets, "fp binary, shingles binary").join(members.select("fp", "key"), "fp").select("key", "fp", "shingles")
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
+    return _tiled_links(entries, sizes, lanes, radius, tile, similarity)
+
+
+def _tiled_links(entries: DataFrame, sizes: DataFrame, lanes: int, radius: int, tile: int, similarity: float | None = None) -> DataFrame:
+    """(a, b): links between the rows of ``entries`` (key, fp, and shingles for the exact check) with an equal key, each
+    bucket of ``sizes`` (key, n) dealt out in tiles."""
     chunks = F.ceil(F.col("n") / tile).cast("int")
-    held = entries.join(sizes, "key").select("key", "fp", chunks.alias("g"), F.pmod(F.xxhash64("fp"), chunks).cast("int").alias("c"))
+    held = entries.join(sizes, "key").select(*entries.columns, chunks.alias("g"), F.pmod(F.xxhash64("fp"), chunks).cast("int").alias("c"))
     other = F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("o")
-    tiles = held.select("key", "fp", "c", other).select("key", F.least("c", "o").alias("t1"), F.greatest("c", "o").alias("t2"), "fp")
+    tiles = held.select(*entries.columns, "c", other).select(*entries.columns, F.least("c", "o").alias("t1"), F.greatest("c", "o").alias("t2"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: pa.Table | None = None
@@ -244,7 +293,12 @@ def class_links(classes: DataFrame, masks: list[int], lanes: int, radius: int, t
         if table.num_rows < 2:
             return
         fps = table.column("fp").combine_chunks()
-        found = star_links(_matrix(fps, lanes), bucket, radius)
+        holds = None
+        if similarity is not None:
+            shingles = table.column("shingles").combine_chunks()
+            own = lambda i: np.frombuffer(shingles[i].as_buffer(), "<u8")
+            holds = lambda i, j: overlap_reaches(own(i), own(j), similarity)
+        found = star_links(_matrix(fps, lanes), bucket, radius, holds)
         if found:
             a, b = (pa.array([x[k] for x in found]) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([fps.take(a), fps.take(b)], names=["a", "b"])
@@ -273,13 +327,22 @@ def components(links: DataFrame) -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
 
 
-def near_components(found: DataFrame, masks: list[int], lanes: int, radius: int) -> DataFrame:
+def _rooted(classes: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``classes`` with the root of each one's component; and of them those in components of more than one class."""
+    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return rooted, rooted.join(roots.select("root").distinct(), "root", "left_semi")
+
+
+def near_components(
+    found: DataFrame, masks: list[int], lanes: int, radius: int, check: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """(fp, component_id, class_id, class_size) for each class of ``found`` (doc_id, fp): the smallest doc_id that its links
-    reach, its own smallest doc_id, and its rows."""
+    reach, its own smallest doc_id, and its rows. ``check`` takes the linked classes (fp, root, class_id) and gives the links
+    (a, b) that hold."""
     classes = written(found.groupBy("fp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "classes")
-    roots = components(class_links(classes.select("fp"), masks, lanes, radius))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    linked = rooted.join(roots.select("root").distinct(), "root", "left_semi")
+    rooted, linked = _rooted(classes, components(class_links(classes.select("fp"), masks, lanes, radius)))
+    if check is not None:
+        rooted, linked = _rooted(classes, components(check(linked)))
     least = linked.groupBy("root").agg(F.min("class_id").alias("least"))
     return rooted.join(least, "root", "left").select("fp", F.coalesce("least", "class_id").alias("component_id"), "class_id", "class_size")
 
@@ -291,16 +354,18 @@ def simhash_components(docs: DataFrame, words: int = 3, radius: int = 3, chosen:
     return found.join(grouped, "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id", "class_id", "class_size")
 
 
-def one_of_each_group(docs: DataFrame, words: int = 5, lanes: int = 4, width: int = 12, radius: int = 44) -> DataFrame:
+def one_of_each_group(docs: DataFrame, words: int = 5, lanes: int = 4, width: int = 12, radius: int = 54, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each component of near-duplicates, the one with the smallest doc_id.
 
     Two texts whose shingles overlap by 0.8 (Jaccard) differ in about 0.15 of their fingerprints' bits: 39 of 256, with
-    a deviation of 6. The radius allows 44, and of the 21 bands of 12 bits at least one is then equal in 19 of 20 cases,
-    in 99 of 100 from an overlap of 0.85. Unrelated texts differ in 128 bits, with a deviation of 8.
+    a deviation of 6. The radius allows 54, and of the 21 bands of 12 bits at least one is then equal in 19 of 20 cases,
+    in 99 of 100 from an overlap of 0.85. Unrelated texts differ in 128 bits, with a deviation of 8. What the radius
+    lets in below ``similarity`` the exact check turns away.
     """
     id_ = "_tidewire_id"
     found = written(fingerprints(docs, words, lanes), "wide-fingerprints")
-    grouped = written(near_components(found, band_keys(64 * lanes, width), lanes, radius), "components")
+    check = lambda members: exact_links(docs, members, words, lanes, radius, similarity)
+    grouped = written(near_components(found, band_keys(64 * lanes, width), lanes, radius, check), "components")
     near = grouped.filter((F.col("component_id") != F.col("class_id")) | (F.col("class_size") > 1))
     dropped = found.join(near, "fp").filter("doc_id <> component_id or doc_id is null").select(F.col("doc_id").alias(id_)).distinct()
     rows = docs.withColumn(id_, F.col("doc_id").cast("long"))
