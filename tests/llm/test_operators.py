@@ -341,6 +341,21 @@ def test_simhash_edges(spark, empty):
     assert len(found) == 6 and {r["component_id"] for r in found if r["doc_id"] in (1, 2)} == {1}
 
 
+# --- odd addresses
+
+
+def test_no_address_is_turned_away():
+    for url, line in (
+        ("http://a\u2100b/x?y#z", "GET /x?y HTTP/1.1\r\nHost: a\u2100b"), ("http://[::1/x", "GET /x HTTP/1.1\r\nHost: [::1"), ("//\u2100", "GET / HTTP/1.1\r\nHost: \u2100"),
+        ("?", "GET / HTTP/1.1\r\nHost: "), ("", "GET / HTTP/1.1\r\nHost: "), (None, "GET / HTTP/1.1\r\nHost: "), ("http://e\r\nx/", "GET / HTTP/1.1\r\nHost: ex"),
+    ):
+        packed, plain = warc.capture(1, url, b"", "D", None), b""
+        while packed:
+            one = zlib.decompressobj(31)
+            plain, packed = plain + one.decompress(packed), one.unused_data
+        assert f"\r\n\r\n{line}\r\n\r\n".encode() in plain
+
+
 # --- licences
 
 

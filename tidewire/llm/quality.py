@@ -14,8 +14,8 @@ The raw model, the weights and k cover every document. The target model is fitte
 documents, those with the smallest hashes of their doc_ids; it is the only bounded part.
 
 Defined results: a null, empty or blank text has no n-grams and the log weight 0; documents that share a doc_id and
-weight share their key and are taken or left by a hash of their rows' partition order; without good labels every
-weight is 0 and the share 1, so every document is kept; an empty table gives no rows; other columns are not
+weight share their key and are taken or left together, as are all that tie with the last one taken; without good
+labels every weight is 0 and the share 1, so every document is kept; an empty table gives no rows; other columns are not
 read, and ``keep_target`` hands them on.
 """
 

@@ -19,9 +19,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -35,6 +35,8 @@ _END = b"\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2024-01-01T00:00:00Z"
 _READ = 1 << 20
+#: Scheme, host, path and query of an address (RFC 3986, appendix B); every text matches.
+_ADDRESS = re.compile(r"(?:[^:/?#]+:)?(?://([^/?#]*))?([^?#]*)(\?[^#]+)?")
 
 RECORDS = (
     "archive string, record_id string, type string, target string, concurrent_to array<string>, refers_to string, "
@@ -66,8 +68,8 @@ def capture(page: int | None, url: str | None, payload: bytes, digest: str, revi
     headers = [("WARC-Record-ID", own), *common, ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http; msgtype=response")]
     if revisits is not None:
         headers += [("WARC-Profile", _PROFILE), ("WARC-Refers-To", _id("response", revisits, digest))]
-    at = urlsplit("".join(c for c in url or "" if c.isprintable()).replace("[", "").replace("]", ""))
-    ask = f"GET {at.path or '/'}{'?' + at.query if at.query else ''} HTTP/1.1\r\nHost: {at.netloc}\r\n\r\n".encode()
+    host, path, query = _ADDRESS.match("".join(c for c in url or "" if c.isprintable())).groups("")
+    ask = f"GET {path or '/'}{query} HTTP/1.1\r\nHost: {host}\r\n\r\n".encode()
     told = f"page_id: {'' if page is None else page}\r\npayload_bytes: {len(payload)}\r\n".encode()
     return b"".join([
         record(kind, headers, http + (payload if revisits is None else b"")),
