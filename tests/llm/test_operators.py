@@ -334,6 +334,32 @@ def test_overlap_reaches_its_bound():
         assert simhash.overlap_reaches(a, b, 0.8) == (5 * len({*a.tolist()} & {*b.tolist()}) >= 4 * both)
 
 
+@pytest.mark.parametrize("at_once", [1 << 22, 100])
+def test_many_overlaps_equal_each_alone(monkeypatch, at_once):
+    monkeypatch.setattr(simhash, "_MARKED", at_once)
+    draw = np.random.default_rng(6)
+    sets = [np.unique(draw.integers(0, 30, n).astype(np.uint64)) for n in (0, 0, 1, *draw.integers(10, 90, 57))]
+    a, b = (x.ravel() for x in np.indices((60, 60)))
+    alone = [simhash.overlap_reaches(sets[i], sets[j], 0.8) for i, j in zip(a, b, strict=True)]
+    assert simhash.overlaps_reach(sets, a, b, 0.8).tolist() == alone and 60 < sum(alone) < 3600
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1 << 12])
+def test_several_lags_link_like_one(monkeypatch, at_once):
+    monkeypatch.setattr(simhash, "_WORDS", at_once)
+    draw = np.random.default_rng(7)
+    rows = draw.integers(0, 2**64, (400, 1), dtype=np.uint64)
+    for _ in range(300):  # chains
+        i, j = draw.integers(0, 400, 2)
+        rows[i] = rows[j] ^ (np.uint64(1) << draw.integers(0, 64, 1).astype(np.uint64))
+    bucket = np.sort(draw.integers(0, 9, 400))
+    near = (np.bitwise_count(rows ^ rows[:, 0]) <= 3) & (bucket[:, None] == bucket)
+    root = np.arange(400)
+    while (least := np.where(near, root, 400).min(axis=1)).tolist() != root.tolist():
+        root = least
+    assert dict(simhash.star_links(rows, bucket, 3)) == {i: r for i, r in enumerate(root.tolist()) if i != r}
+
+
 def test_simhash_edges(spark, empty):
     assert simhash.simhash_components(empty).count() == 0
     assert simhash.one_of_each_group(empty).count() == 0

@@ -48,6 +48,8 @@ TILE = 4096
 #: The same where the rows bring their shingles along.
 EXACT_TILE = 1024
 _CHUNK = 1 << 14
+#: Words of a plane, over all lags, that are compared at once; and shingles that are numbered at once.
+_WORDS, _MARKED = 1 << 12, 1 << 22
 
 
 def shingle_hashes(text: str, words: int) -> Iterator[np.ndarray]:
@@ -113,21 +115,10 @@ def _matrix(column: pa.Array, lanes: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64).reshape(-1, lanes)[:, ::-1]
 
 
-def _ahead(plane: np.ndarray, d: int) -> np.ndarray:
-    """The plane d rows on."""
-    words, bits = divmod(d, 64)
-    out = np.zeros_like(plane)
-    out[: len(plane) - words] = plane[words:]
-    if bits:
-        high = np.zeros_like(out)
-        high[:-1] = out[1:]
-        out = (out >> np.uint64(bits)) | (high << np.uint64(64 - bits))
-    return out
-
-
 def _pack(flags: np.ndarray) -> np.ndarray:
-    """Bits of one column, 64 rows to a word."""
-    return np.packbits(np.pad(flags, (0, -len(flags) % 64)), bitorder="little").view(np.uint64)
+    """Bits of each line of rows, 64 rows to a word."""
+    spare = [(0, 0)] * (flags.ndim - 1) + [(0, -flags.shape[-1] % 64)]
+    return np.packbits(np.pad(flags, spare), axis=-1, bitorder="little").view(np.uint64)
 
 
 class Planes:
@@ -136,49 +127,49 @@ class Planes:
     def __init__(self, rows: np.ndarray):
         bits = np.unpackbits(np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
         bits = np.pad(bits, ((0, -len(rows) % 64), (0, 0)))
-        self.planes = np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
+        planes = np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
+        self.words = planes.shape[1]
+        self.planes = np.pad(planes, ((0, 0), (0, self.words + 1)))  # no row stands behind the last one
 
-    def within(self, d: int, radius: int, asked: np.ndarray) -> np.ndarray:
-        """Of the rows ``asked`` for (packed), those that differ from the row d on in at most ``radius`` bits."""
+    def within(self, first: int, radius: int, asked: np.ndarray) -> np.ndarray:
+        """``asked`` has a packed line of rows for each lag from ``first``, or one line for that lag alone. Of these rows,
+        those that differ from the row so many on in at most ``radius`` bits."""
         depth = radius.bit_length()
         # counters start so that they overflow with the bit after the last one allowed
         ahead = (1 << depth) - 1 - radius
-        counters = [np.full_like(asked, 0xFFFFFFFFFFFFFFFF if ahead >> k & 1 else 0) for k in range(depth)]
-        alive = asked.copy()
-        at = np.flatnonzero(alive)
-        dense = len(at) * 4 > len(alive)
+        at = np.flatnonzero(asked)
+        alive = asked.ravel()[at]
+        lag, word = np.divmod(at, self.words)
+        far, shift = np.divmod(first + lag, 64)
+        far, low = far + word, shift.astype(np.uint64)
+        high = np.uint64(63) - low
+        counters = np.empty((depth, len(at)), np.uint64)
+        for c in range(depth):
+            counters[c] = 0xFFFFFFFFFFFFFFFF if ahead >> c & 1 else 0
         for k, plane in enumerate(self.planes):
-            carry = plane ^ _ahead(plane, d) if dense else self._differ(plane, d, at)
-            for c in range(depth):
-                if dense:
-                    counters[c], carry = counters[c] ^ carry, counters[c] & carry
-                else:
-                    now = counters[c][at]
-                    counters[c][at], carry = now ^ carry, now & carry
-            if dense:
-                alive &= ~carry
-            else:
-                alive[at] &= ~carry
+            carry = plane[word] ^ (plane[far] >> low | plane[far + 1] << np.uint64(1) << high)
+            for counter in counters:
+                both = counter & carry
+                counter ^= carry
+                carry = both
+            alive &= ~carry
             if k % 16 == 15:
-                at = np.flatnonzero(alive)
-                if not len(at):
+                live = np.flatnonzero(alive)
+                if 2 * len(live) <= len(alive):  # the abandoned blocks go
+                    at, alive, word, far, low, high = (x[live] for x in (at, alive, word, far, low, high))
+                    counters = counters[:, live]
+                if not len(live):
                     break
-                dense = len(at) * 4 > len(alive)
-        return alive
-
-    @staticmethod
-    def _differ(plane: np.ndarray, d: int, at: np.ndarray) -> np.ndarray:
-        words, bits = divmod(d, 64)
-        padded = np.concatenate([plane, np.zeros(words + 2, np.uint64)])
-        ahead = padded[at + words]
-        if bits:
-            ahead = (ahead >> np.uint64(bits)) | (padded[at + words + 1] << np.uint64(64 - bits))
-        return plane[at] ^ ahead
+        out = np.zeros(asked.size, np.uint64)
+        out[at] = alive
+        return out.reshape(asked.shape)
 
 
-def star_links(rows: np.ndarray, bucket: np.ndarray, radius: int, holds: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
+def star_links(
+    rows: np.ndarray, bucket: np.ndarray, radius: int, holds: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+) -> list[tuple[int, int]]:
     """Links (row, first row of its component) within each bucket. Rows of one bucket stand together. A link counts only if
-    it ``holds``, where that is given."""
+    it ``holds``, where that is given: it takes the rows of many links and tells which of them do."""
     n = len(rows)
     root = np.arange(n)
 
@@ -195,20 +186,29 @@ def star_links(rows: np.ndarray, bucket: np.ndarray, radius: int, holds: Callabl
             own = own[sizes[inverse] > d]
             if not len(own):
                 break
-            planes = Planes(rows[own])
-        a, b = own[:-d], own[d:]
-        asked = np.zeros(len(own), bool)
-        asked[: len(a)] = (bucket[a] == bucket[b]) & (root[a] != root[b])
+            planes, held = Planes(rows[own]), bucket[own]
+        # several lags at once, up to the next power of two
+        lags = min(max(1, _WORDS // planes.words), (1 << d.bit_length()) - d, len(own) - d)
+        tops = root[own]
+        asked = np.zeros((lags, len(own)), bool)
+        for k in range(lags):
+            e = d + k
+            asked[k, : len(own) - e] = (held[:-e] == held[e:]) & (tops[:-e] != tops[e:])
         if asked.any():
-            near = np.unpackbits(planes.within(d, radius, _pack(asked)).view(np.uint8), bitorder="little")[: len(a)]
-            for i in np.flatnonzero(near).tolist():
-                x, y = top(int(a[i])), top(int(b[i]))
-                if x != y and (holds is None or holds(int(a[i]), int(b[i]))):
+            near = planes.within(d, radius, _pack(asked))
+            lag, a = np.nonzero(np.unpackbits(near.view(np.uint8), axis=1, bitorder="little"))
+            a, b = own[a], own[a + d + lag]
+            if holds is not None and len(a):
+                kept = holds(a, b)
+                a, b = a[kept], b[kept]
+            for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                x, y = top(i), top(j)
+                if x != y:
                     root[max(x, y)] = min(x, y)
-            if near.any():
+            if len(a):
                 while (root[root] != root).any():
                     root = root[root]
-        d += 1
+        d += lags
     return [(i, int(root[i])) for i in np.flatnonzero(root != np.arange(n)).tolist()]
 
 
@@ -221,6 +221,28 @@ def overlap_reaches(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return common + 1e-9 >= similarity * (len(a) + len(b) - common)
 
 
+def overlaps_reach(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """The same for many pairs of ``sets``, by their places. Each set on the left is marked once for all its partners."""
+    used, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    sizes = np.array([len(sets[i]) for i in used.tolist()], np.int64)
+    if sizes.sum() > _MARKED:  # too many to number at once
+        return np.array([overlap_reaches(sets[i], sets[j], similarity) for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
+    _, number = np.unique(np.concatenate([sets[i] for i in used.tolist()]), return_inverse=True)
+    numbers = np.split(number, np.cumsum(sizes)[:-1])
+    left, right = place[: len(a)], place[len(a) :]
+    marks, common = np.zeros(len(number) + 1, bool), np.zeros(len(a), np.int64)
+    order = np.argsort(left, kind="stable")
+    for pairs in np.split(order, np.flatnonzero(np.diff(left[order])) + 1):
+        own, others = numbers[left[pairs[0]]], right[pairs]
+        marks[own] = True
+        held = sizes[others] > 0  # an empty set has nothing in common with any
+        if held.any():
+            at = np.concatenate([[0], np.cumsum(sizes[others[held]])[:-1]])
+            common[pairs[held]] = np.add.reduceat(marks[np.concatenate([numbers[j] for j in others[held].tolist()])], at, dtype=np.int64)
+        marks[own] = False
+    return common + 1e-9 >= similarity * (sizes[left] + sizes[right] - common)
+
+
 def class_links(classes: DataFrame, masks: list[int], lanes: int, radius: int, tile: int = TILE) -> DataFrame:
     """(a, b): links between fingerprints that join what is linked; ``classes`` (fp) has each fingerprint once."""
     words = _lanes(masks, lanes)
@@ -295,9 +317,8 @@ def _tiled_links(entries: DataFrame, sizes: DataFrame, lanes: int, radius: int,
         fps = table.column("fp").combine_chunks()
         holds = None
         if similarity is not None:
-            shingles = table.column("shingles").combine_chunks()
-            own = lambda i: np.frombuffer(shingles[i].as_buffer(), "<u8")
-            holds = lambda i, j: overlap_reaches(own(i), own(j), similarity)
+            sets = [np.frombuffer(x.as_buffer(), "<u8") for x in table.column("shingles").combine_chunks()]
+            holds = lambda a, b: overlaps_reach(sets, a, b, similarity)
         found = star_links(_matrix(fps, lanes), bucket, radius, holds)
         if found:
             a, b = (pa.array([x[k] for x in found]) for k in (0, 1))
