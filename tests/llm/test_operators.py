@@ -360,6 +360,24 @@ def test_several_lags_link_like_one(monkeypatch, at_once):
     assert dict(simhash.star_links(rows, bucket, 3)) == {i: r for i, r in enumerate(root.tolist()) if i != r}
 
 
+def near_pairs(spark, pairs):
+    """Ids that stay, of pairs of texts with the ids 2 k and 2 k + 1."""
+    texts = [t for pair in pairs for t in pair]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sorted(r["doc_id"] for r in simhash.one_of_each_group(frame).collect())
+
+
+def test_no_near_copy_of_any_length_is_missed(spark):
+    """Overlaps of 0.8 and little more, in short and in long texts."""
+    draw, pairs = random.Random(11), []
+    for k in range(390):
+        n = 8 + k % 13 if k < 260 else draw.randrange(200, 500)
+        own = [f"w{draw.randrange(10**6)}" for _ in range(n)]
+        more = [f"x{draw.randrange(10**6)}" for _ in range((n - 4) // 4)]
+        pairs.append((" ".join(own), " ".join(own + more)))
+    assert near_pairs(spark, pairs) == [*range(0, 780, 2)]
+
+
 def test_simhash_edges(spark, empty):
     assert simhash.simhash_components(empty).count() == 0
     assert simhash.one_of_each_group(empty).count() == 0

@@ -5,7 +5,7 @@ Equal fingerprints make a class; two classes are linked if at most ``radius`` bi
 
 Candidates. A key is a group of fingerprint bits, and only classes with an equal key are compared. With
 ``block_keys`` the bits are cut into blocks and every choice of blocks is a key, so that at most ``radius``
-differing bits leave at least one key equal: no link is lost. With ``band_keys`` a longer fingerprint is cut into bands.
+differing bits leave at least one key equal: no link is lost.
 
 Comparison. The classes of a key's bucket stand in rows, one after the other; bit planes hold one bit of many
 rows each, 64 rows to a word. For each lag d the planes are compared with themselves d rows on, which gives one
@@ -18,11 +18,17 @@ chunks is one tile, so that a hot bucket is spread over many tasks.
 
 Components are found by alternating large and small stars, each round written to the shared folder.
 
-Exact check. ``one_of_each_group`` takes the components that the fingerprints give as candidates only: within each of
-them the classes are compared once more, now with their sets of shingles beside the planes, and a link holds if the
-sets' overlap (Jaccard) reaches ``similarity``. Each class goes there once (in tiles, where a component is large).
+Near copies. ``one_of_each_group`` goes by the overlap (Jaccard) of the sets of shingles, so its sketches are of sets:
+256 independent hashes, and of each the least one in the set, which two sets share with a probability that is their
+overlap, however many shingles there are and however often they are repeated. Bands of least hashes are the keys, and a
+bit of each makes the planes. Equal sets make a class.
 
-Defined results: a null, empty or blank text has the fingerprint zero and is linked like any other; a text of
+Exact check. Components that the sketches give are candidates only: within each of them the classes are compared once
+more, now with their sets of shingles beside the planes, and a link holds if the sets' overlap reaches ``similarity``.
+Each class goes there once (in tiles, where a component is large).
+
+Defined results: a null, empty or blank text has the fingerprint zero (in ``one_of_each_group``, the empty set) and is
+linked like any other; a text of
 fewer words than a shingle has one shingle, its words; repeated rows fall into one class; an empty table gives
 no rows; other columns are not read, and ``one_of_each_group`` hands them on. Texts of one wide fingerprint are one class
 there, and the text of its smallest doc_id stands for them.
@@ -30,13 +36,14 @@ there, and the text of its smallest doc_id stands for them.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .mph import mix
@@ -50,6 +57,8 @@ EXACT_TILE = 1024
 _CHUNK = 1 << 14
 #: Words of a plane, over all lags, that are compared at once; and shingles that are numbered at once.
 _WORDS, _MARKED = 1 << 12, 1 << 22
+#: Shingles that are hashed at once for a sketch, and bytes of a set's digest.
+_HASHED, _DIGEST = 256, 16
 
 
 def shingle_hashes(text: str, words: int) -> Iterator[np.ndarray]:
@@ -101,9 +110,54 @@ def block_keys(bits: int, radius: int, chosen: int) -> list[int]:
     return [sum(c) for c in itertools.combinations(masks, chosen)]
 
 
-def band_keys(bits: int, width: int) -> list[int]:
-    """Bit masks of all whole bands of ``width`` bits."""
-    return [((1 << width) - 1) << a for a in range(0, bits - width + 1, width)]
+def shingle_set(text: str, words: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, sorted."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, words)]))
+
+
+def _set_digest(held: np.ndarray) -> bytes:
+    return hashlib.blake2b(held.astype("<u8").tobytes(), digest_size=_DIGEST).digest()
+
+
+def least_hashes(held: np.ndarray, n: int) -> np.ndarray:
+    """Of each of ``n`` hashes (32 bits) the least one in a set; all ones for the empty set."""
+    factor = mix(np.arange(n, dtype=np.uint64), 3)
+    add, factor = (factor >> np.uint64(32)).astype(np.uint32)[:, None], (factor | np.uint64(1)).astype(np.uint32)[:, None]
+    low, least = held.astype(np.uint32), np.full(n, 0xFFFFFFFF, np.uint32)
+    for a in range(0, len(low), _HASHED):
+        h = low[a : a + _HASHED] * factor
+        h += add
+        h ^= h >> np.uint32(15)
+        h *= np.uint32(0x85EBCA6B)
+        h ^= h >> np.uint32(13)
+        np.minimum(least, h.min(axis=1), out=least)
+    return least
+
+
+def sketches(docs: DataFrame, words: int, lanes: int, bands: int, width: int) -> DataFrame:
+    """(doc_id, digest, fp, keys): a row for each row of ``docs``; the text's digest, a bit of each of the ``64 * lanes``
+    least hashes with the digest of the set behind them, and a key for each band of ``width`` least hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sets = [shingle_set(t.as_py(), words) for t in batch.column(2)]
+            least = np.stack([least_hashes(s, 64 * lanes) for s in sets]).astype(np.uint64)
+            bits = np.packbits((mix(least, 4) & np.uint64(1)).astype(bool), axis=1)
+            fps = [b.tobytes() + _set_digest(s) for b, s in zip(bits, sets, strict=True)]
+            key = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(sets), bands))
+            for k in range(width):
+                key = mix(key ^ least[:, k : bands * width : width], 5)
+            keys = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.binary()), keys], names=["doc_id", "digest", "fp", "keys"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_digest().alias("digest"), whole_text().alias("text"))
+    return rows.mapInArrow(run, "doc_id long, digest string, fp binary, keys array<long>")
+
+
+def _text_digest() -> Column:
+    return F.sha2(whole_text(), 256)
 
 
 def _lanes(masks: list[int], lanes: int) -> np.ndarray:
@@ -111,8 +165,8 @@ def _lanes(masks: list[int], lanes: int) -> np.ndarray:
 
 
 def _matrix(column: pa.Array, lanes: int) -> np.ndarray:
-    """Fingerprints as rows of words, the lowest word first."""
-    return np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64).reshape(-1, lanes)[:, ::-1]
+    """Fingerprints as rows of words, the lowest word first; what stands behind them does not count."""
+    return np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64).reshape(len(column), -1)[:, :lanes][:, ::-1]
 
 
 def _pack(flags: np.ndarray) -> np.ndarray:
@@ -258,28 +312,38 @@ def class_links(classes: DataFrame, masks: list[int], lanes: int, radius: int, t
                         key = mix((rows[:, lane] & mask[lane]) ^ mix(key, int(lane) + 2), 1)
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), fps], names=["key", "fp"])
 
-    entries = classes.mapInArrow(keys, "key long, fp binary")
+    return key_links(classes.mapInArrow(keys, "key long, fp binary"), lanes, radius, tile)
+
+
+def key_links(entries: DataFrame, lanes: int, radius: int, tile: int = TILE) -> DataFrame:
+    """The same from ``entries`` (key, fp): only fingerprints with an equal key are compared."""
     sizes = written(entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash-buckets")
     return _tiled_links(entries, sizes, lanes, radius, tile)
 
 
 def exact_links(docs: DataFrame, members: DataFrame, words: int, lanes: int, radius: int, similarity: float, tile: int = EXACT_TILE) -> DataFrame:
-    """(a, b): links between the classes ``members`` (fp, root, class_id) of one component whose shingles overlap by ``similarity``."""
-    members = written(members.select("fp", F.xxhash64("root").alias("key"), "class_id"), "near-classes")
-    asked = members.select("class_id").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    texts = texts.join(asked, texts["doc_id"].eqNullSafe(asked["class_id"]), "left_semi").select("text")
+    """(a, b): links between the classes ``members`` (fp, root, class_id) of one component whose shingles overlap by
+    ``similarity``. With a column ``digest``, class_id and digest name a row of each class, and fp ends with the set's digest."""
+    sketched = "digest" in members.columns
+    name = F.substring("fp", 8 * lanes + 1, _DIGEST) if sketched else F.col("fp")
+    of = ["class_id", *(["digest"] if sketched else [])]
+    members = written(members.select("fp", name.alias("name"), F.xxhash64("root").alias("key"), *of), "near-classes")
+    asked = members.select(of).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_digest().alias("own"), whole_text().alias("text"))
+    same = texts["doc_id"].eqNullSafe(asked["class_id"])
+    texts = texts.join(asked, same & (texts["own"] == asked["digest"]) if sketched else same, "left_semi").select("text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, held = [], []
+            names, held = [], []
             for text in batch.column(0):
                 text = text.as_py()
-                fps.append(_bytes(fingerprint(text, words, lanes)))
-                held.append(np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, words)])).astype("<u8").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), pa.array(held, pa.binary())], names=["fp", "shingles"])
+                held.append(shingle_set(text, words))
+                names.append(_set_digest(held[-1]) if sketched else _bytes(fingerprint(text, words, lanes)))
+            shingles = [h.astype("<u8").tobytes() for h in held]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(shingles, pa.binary())], names=["name", "shingles"])
 
-    entries = texts.mapInArrow(sets, "fp binary, shingles binary").join(members.select("fp", "key"), "fp").select("key", "fp", "shingles")
+    entries = texts.mapInArrow(sets, "name binary, shingles binary").join(members.select("name", "fp", "key"), "name").select("key", "fp", "shingles")
     sizes = members.groupBy("key").agg(F.count("*").alias("n"))
     return _tiled_links(entries, sizes, lanes, radius, tile, similarity)
 
@@ -355,13 +419,14 @@ def _rooted(classes: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def near_components(
-    found: DataFrame, masks: list[int], lanes: int, radius: int, check: Callable[[DataFrame], DataFrame] | None = None
+    classes: DataFrame, links: Callable[[DataFrame], DataFrame], check: Callable[[DataFrame], DataFrame] | None = None
 ) -> DataFrame:
-    """(fp, component_id, class_id, class_size) for each class of ``found`` (doc_id, fp): the smallest doc_id that its links
-    reach, its own smallest doc_id, and its rows. ``check`` takes the linked classes (fp, root, class_id) and gives the links
-    (a, b) that hold."""
-    classes = written(found.groupBy("fp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "classes")
-    rooted, linked = _rooted(classes, components(class_links(classes.select("fp"), masks, lanes, radius)))
+    """(fp, component_id, class_id, class_size) for each of ``classes`` (fp, class_id, class_size): the smallest class_id
+    that its links reach. ``links`` takes the classes and gives their links (a, b); ``check`` takes the linked classes
+    (fp, root, class_id) and gives the links that hold."""
+    found = links(classes)
+    classes = classes.select("fp", "class_id", "class_size")
+    rooted, linked = _rooted(classes, components(found))
     if check is not None:
         rooted, linked = _rooted(classes, components(check(linked)))
     least = linked.groupBy("root").agg(F.min("class_id").alias("least"))
@@ -371,23 +436,31 @@ def near_components(
 def simhash_components(docs: DataFrame, words: int = 3, radius: int = 3, chosen: int = 2) -> DataFrame:
     """doc_id, fingerprint (hexadecimal, 64 bits), component_id, class_id, class_size for each row of ``docs``."""
     found = written(fingerprints(docs, words), "fingerprints")
-    grouped = written(near_components(found, block_keys(64, radius, chosen), 1, radius), "components")
+    classes = written(found.groupBy("fp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "classes")
+    links = lambda own: class_links(own.select("fp"), block_keys(64, radius, chosen), 1, radius)
+    grouped = written(near_components(classes, links), "components")
     return found.join(grouped, "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id", "class_id", "class_size")
 
 
-def one_of_each_group(docs: DataFrame, words: int = 5, lanes: int = 4, width: int = 12, radius: int = 54, similarity: float = 0.8) -> DataFrame:
+def one_of_each_group(
+    docs: DataFrame, words: int = 5, lanes: int = 4, radius: int = 54, similarity: float = 0.8, bands: int = 40, width: int = 4
+) -> DataFrame:
     """``docs`` with one row of each component of near-duplicates, the one with the smallest doc_id.
 
-    Two texts whose shingles overlap by 0.8 (Jaccard) differ in about 0.15 of their fingerprints' bits: 39 of 256, with
-    a deviation of 6. The radius allows 54, and of the 21 bands of 12 bits at least one is then equal in 19 of 20 cases,
-    in 99 of 100 from an overlap of 0.85. Unrelated texts differ in 128 bits, with a deviation of 8. What the radius
+    Two texts whose shingles overlap by 0.8 (Jaccard) have no equal band in (1 - 0.8 ** 4) ** 40, 1 of 10 ** 9 cases, and
+    differ in 0.1 of their sketches' bits: 26 of 256, with a deviation of 5; more than the radius allows in 1 of 10 ** 7
+    cases. That holds for texts of any length. Unrelated texts differ in 128 bits, with a deviation of 8. What the radius
     lets in below ``similarity`` the exact check turns away.
     """
     id_ = "_tidewire_id"
-    found = written(fingerprints(docs, words, lanes), "wide-fingerprints")
-    check = lambda members: exact_links(docs, members, words, lanes, radius, similarity)
-    grouped = written(near_components(found, band_keys(64 * lanes, width), lanes, radius, check), "components")
+    found = written(sketches(docs, words, lanes, bands, width), "sketches")
+    row = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "digest")
+    classes = found.groupBy("fp").agg(F.min(row).alias("class_id"), F.count("*").alias("class_size"), F.first("keys").alias("keys"))
+    links = lambda own: key_links(own.select(F.explode("keys").alias("key"), "fp"), lanes, radius)
+    named = ["fp", "root", F.col("class_id.doc_id").alias("class_id"), F.col("class_id.digest").alias("digest")]
+    check = lambda members: exact_links(docs, members.select(named), words, lanes, radius, similarity)
+    grouped = written(near_components(written(classes, "classes"), links, check), "components")
     near = grouped.filter((F.col("component_id") != F.col("class_id")) | (F.col("class_size") > 1))
-    dropped = found.join(near, "fp").filter("doc_id <> component_id or doc_id is null").select(F.col("doc_id").alias(id_)).distinct()
+    dropped = found.join(near, "fp").filter("doc_id <> component_id.doc_id or doc_id is null").select(F.col("doc_id").alias(id_)).distinct()
     rows = docs.withColumn(id_, F.col("doc_id").cast("long"))
     return rows.join(dropped, id_, "left_anti").select(docs.columns)
