@@ -378,6 +378,15 @@ def test_no_near_copy_of_any_length_is_missed(spark):
     assert near_pairs(spark, pairs) == [*range(0, 780, 2)]
 
 
+def test_repeated_lines_hide_no_near_copy(spark):
+    draw, pairs = random.Random(12), []
+    for times in (5, 10, 20, 40) * 5:
+        own = " ".join(f"w{draw.randrange(10**6)}" for _ in range(204))
+        line = "\n" + " ".join(f"l{draw.randrange(10**6)}" for _ in range(11))
+        pairs.append((own + line, own + line * times))
+    assert near_pairs(spark, pairs) == [*range(0, 40, 2)]
+
+
 def test_simhash_edges(spark, empty):
     assert simhash.simhash_components(empty).count() == 0
     assert simhash.one_of_each_group(empty).count() == 0
