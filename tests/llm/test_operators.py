@@ -387,6 +387,16 @@ def test_repeated_lines_hide_no_near_copy(spark):
     assert near_pairs(spark, pairs) == [*range(0, 40, 2)]
 
 
+def test_one_repeated_line_makes_no_near_copy(spark):
+    """Texts that have a line repeated in common, and little else."""
+    draw = random.Random(13)
+    line = "\n" + " ".join(f"l{k}" for k in range(11))
+    pairs = [[" ".join(f"w{draw.randrange(10**6)}" for _ in range(64)) + line * 70 for _ in "ab"] for _ in range(5)]
+    a, b = map(plain_shingles, pairs[0])
+    assert len(a & b) < 0.15 * len(a | b)
+    assert near_pairs(spark, pairs) == [*range(10)]
+
+
 def test_simhash_edges(spark, empty):
     assert simhash.simhash_components(empty).count() == 0
     assert simhash.one_of_each_group(empty).count() == 0
