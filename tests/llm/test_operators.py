@@ -397,6 +397,21 @@ def test_one_repeated_line_makes_no_near_copy(spark):
     assert near_pairs(spark, pairs) == [*range(10)]
 
 
+def test_near_copies_under_repeated_and_missing_ids(spark):
+    draw = random.Random(14)
+    a, b, c, d, e = (" ".join(f"w{draw.randrange(10**6)}" for _ in range(100)) for _ in range(5))
+    rows = [
+        (1, a), (2, a + " more"), (2, b),  # the near copy goes, the other text of its id stays
+        (3, c), (3, c + " more"),  # one of two under one id
+        (None, d), (None, d + " more"), (None, d + " more"),  # one of several without an id
+        (5, e + " more"), (5, e + " more"), (None, e), (6, e),  # one of several equal rows; those without an id go
+    ]
+    frame = spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id long, text string, digest string").repartition(3)
+    kept = sorted(((r["doc_id"], r["text"]) for r in simhash.one_of_each_group(frame).collect()), key=str)
+    least = lambda t: min((t, t + " more"), key=lambda x: (xxhash.xxh64_intdigest(x, 42) + 2**63) % 2**64)
+    assert kept == sorted([(1, a), (2, b), (3, least(c)), (None, least(d)), (5, e + " more")], key=str)
+
+
 def test_simhash_edges(spark, empty):
     assert simhash.simhash_components(empty).count() == 0
     assert simhash.one_of_each_group(empty).count() == 0

@@ -153,11 +153,19 @@ def sketches(docs: DataFrame, words: int, lanes: int, bands: int, width: int) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.binary()), keys], names=["doc_id", "digest", "fp", "keys"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_digest().alias("digest"), whole_text().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, digest string, fp binary, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, digest long, fp binary, keys array<long>")
+
+
+def _shared_keys(classes: DataFrame) -> DataFrame:
+    """(key, fp) for each of the ``keys`` of ``classes`` that others have too. The long fingerprints are sent only then."""
+    entries = classes.select(F.explode("keys").alias("key"), F.xxhash64("fp").alias("number"))
+    shared = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    entries = written(entries.join(shared, "key", "left_semi"), "shared-keys")
+    return entries.join(classes.select(F.xxhash64("fp").alias("number"), "fp"), "number").select("key", "fp")
 
 
 def _text_digest() -> Column:
-    return F.sha2(whole_text(), 256)
+    return F.xxhash64(whole_text())
 
 
 def _lanes(masks: list[int], lanes: int) -> np.ndarray:
@@ -321,17 +329,14 @@ def key_links(entries: DataFrame, lanes: int, radius: int, tile: int = TILE) ->
     return _tiled_links(entries, sizes, lanes, radius, tile)
 
 
-def exact_links(docs: DataFrame, members: DataFrame, words: int, lanes: int, radius: int, similarity: float, tile: int = EXACT_TILE) -> DataFrame:
+def exact_links(docs: DataFrame, members: DataFrame, words: int, lanes: int, radius: int, similarity: float, tile: int = EXACT_TILE, sketched: bool = False) -> DataFrame:
     """(a, b): links between the classes ``members`` (fp, root, class_id) of one component whose shingles overlap by
-    ``similarity``. With a column ``digest``, class_id and digest name a row of each class, and fp ends with the set's digest."""
-    sketched = "digest" in members.columns
+    ``similarity``. class_id is the doc_id of a row of the class; if ``sketched``, fp ends with the digest of the class's set."""
     name = F.substring("fp", 8 * lanes + 1, _DIGEST) if sketched else F.col("fp")
-    of = ["class_id", *(["digest"] if sketched else [])]
-    members = written(members.select("fp", name.alias("name"), F.xxhash64("root").alias("key"), *of), "near-classes")
-    asked = members.select(of).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_digest().alias("own"), whole_text().alias("text"))
-    same = texts["doc_id"].eqNullSafe(asked["class_id"])
-    texts = texts.join(asked, same & (texts["own"] == asked["digest"]) if sketched else same, "left_semi").select("text")
+    members = written(members.select("fp", name.alias("name"), F.xxhash64("root").alias("key"), "class_id"), "near-classes")
+    asked = members.select("class_id").distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    texts = texts.join(asked, texts["doc_id"].eqNullSafe(asked["class_id"]), "left_semi").select("text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -451,16 +456,27 @@ def one_of_each_group(
     differ in 0.1 of their sketches' bits: 26 of 256, with a deviation of 5; more than the radius allows in 1 of 10 ** 7
     cases. That holds for texts of any length. Unrelated texts differ in 128 bits, with a deviation of 8. What the radius
     lets in below ``similarity`` the exact check turns away.
+
+    Only equal sets of shingles are one class without that check. A row goes by its own doc_id and text: other texts of its
+    doc_id stay. Rows without a doc_id come after all others; of several with one doc_id the one with the least XXH64 of
+    its text stays, and one of several equal ones.
     """
-    id_ = "_tidewire_id"
+    id_, digest = "_tidewire_id", "_tidewire_xxh64"
     found = written(sketches(docs, words, lanes, bands, width), "sketches")
     row = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "digest")
     classes = found.groupBy("fp").agg(F.min(row).alias("class_id"), F.count("*").alias("class_size"), F.first("keys").alias("keys"))
-    links = lambda own: key_links(own.select(F.explode("keys").alias("key"), "fp"), lanes, radius)
-    named = ["fp", "root", F.col("class_id.doc_id").alias("class_id"), F.col("class_id.digest").alias("digest")]
-    check = lambda members: exact_links(docs, members.select(named), words, lanes, radius, similarity)
+    links = lambda own: key_links(_shared_keys(own), lanes, radius)
+    named = ["fp", "root", F.col("class_id.doc_id").alias("class_id")]
+    check = lambda members: exact_links(docs, members.select(named), words, lanes, radius, similarity, sketched=True)
     grouped = written(near_components(written(classes, "classes"), links, check), "components")
     near = grouped.filter((F.col("component_id") != F.col("class_id")) | (F.col("class_size") > 1))
-    dropped = found.join(near, "fp").filter("doc_id <> component_id.doc_id or doc_id is null").select(F.col("doc_id").alias(id_)).distinct()
-    rows = docs.withColumn(id_, F.col("doc_id").cast("long"))
-    return rows.join(dropped, id_, "left_anti").select(docs.columns)
+    told = found.join(near, "fp").select(F.col("doc_id").alias(id_), F.col("digest").alias(digest), row.eqNullSafe(F.col("component_id")).alias("kept"))
+    told = written(told.groupBy(id_, digest, "kept").agg(F.count("*").alias("n")), "near-rows")
+    rows = docs.withColumn(id_, F.col("doc_id").cast("long")).withColumn(digest, _text_digest())
+    both = lambda other: rows[id_].eqNullSafe(other[id_]) & (rows[digest] == other[digest])
+    dropped, repeated = told.filter("not kept").select(id_, digest), told.filter("kept and n > 1").select(id_, digest)
+    rows = rows.join(dropped, both(dropped), "left_anti")
+    if not repeated.isEmpty():
+        one = rows.join(repeated, both(repeated), "left_semi").dropDuplicates([id_, digest])
+        rows = rows.join(repeated, both(repeated), "left_anti").unionByName(one)
+    return rows.select(docs.columns)
