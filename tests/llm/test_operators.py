@@ -500,6 +500,22 @@ def test_fingerprints_follow_content(monkeypatch):
     assert ctph.likeness(ctph.fingerprint(""), ctph.fingerprint("")) == 1 and ctph.likeness(ctph.fingerprint(""), ctph.fingerprint("a")) == 0
 
 
+def test_long_repetitive_texts_count_to_their_end():
+    """More chunks than a text without repeats has; what differs at the end shows."""
+    draw = random.Random(15)
+    seen = 0
+    for _ in range(20):
+        line = " ".join(f"l{draw.randrange(999)}" for _ in range(5)) + "\n"
+        text = line * 600
+        end = "".join(f"e{draw.randrange(10**6)} " for _ in range(len(text) // 12))
+        own, other = (ctph.fingerprint(t) for t in (text, text[: len(text) // 2] + end))
+        if max(len(s) for s in own.split(":")[1:]) >= 192:
+            seen += 1
+            assert ctph.likeness(own, other) < 0.7
+            assert ctph.likeness(own, ctph.fingerprint(text[: -len(line)] + line.upper())) < 1
+    assert seen > 5
+
+
 def test_neighbours(spark, docs, rows, empty):
     texts = [t or "" for _, t, *_ in rows]
     found = {r["doc_id"]: r for r in ctph.neighbours(docs).collect()}

@@ -8,14 +8,14 @@ by the edit distance of those signatures: likeness 1 - distance / length of the
 sizes in common; 0 without one. Equal texts have equal fingerprints.
 
 Defined results: a null or empty text has two empty signatures, and is like another such text by 1 and like any
-other by 0; a signature has at most ``LONGEST`` characters, the last of which stands for the rest of the text
-(every byte counts); a text is hashed in parts of bounded size; repeated rows follow each other; an empty table
-gives no rows; one row alone is its own next document; null doc_ids come last; other columns are not read.
+other by 0; a signature has a character for every chunk, however many a repetitive text has; a text is hashed in
+parts of bounded size; repeated rows follow each other; an empty table gives no rows; one row alone is its own next document; null doc_ids come last; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .shared import whole_text, written
 
-WINDOW, LEAST_BLOCK, WANTED, LONGEST = 7, 4, 64, 192
+WINDOW, LEAST_BLOCK, WANTED = 7, 4, 64
 _PART = 1 << 20
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
@@ -47,10 +47,9 @@ def rolling(data: bytes) -> Iterator[np.ndarray]:
 
 def signature(parts: list[np.ndarray] | Iterator[np.ndarray], block: int) -> str:
     """A letter for each chunk: of the sum of the window hashes in it."""
-    low, sums, open_, chunks = np.uint32(block - 1), [], 0, 0
+    low, sums, open_ = np.uint32(block - 1), [], 0
     for h in parts:
-        ends = np.flatnonzero((h & low) == low)[: LONGEST - 1 - chunks] + 1
-        chunks += len(ends)
+        ends = np.flatnonzero((h & low) == low) + 1
         starts = np.concatenate([[0], ends])
         wide = h.astype(np.uint64)
         got = np.add.reduceat(wide, starts[starts < len(h)]).tolist() + [0] * int(starts[-1] == len(h))
@@ -77,7 +76,12 @@ def fingerprint(text: str) -> str:
 
 
 def edit_distance(a: str, b: str) -> int:
-    """Levenshtein's distance; the columns of its table are kept as the bits of their differences."""
+    """Levenshtein's distance; the columns of its table are kept as the bits of their differences. What both begin or end
+    with costs nothing."""
+    same = len(os.path.commonprefix([a, b]))
+    a, b = a[same:], b[same:]
+    same = len(os.path.commonprefix([a[::-1], b[::-1]]))
+    a, b = a[: len(a) - same], b[: len(b) - same]
     if not a or not b:
         return len(a) + len(b)
     at: dict[str, int] = {}
