@@ -13,7 +13,7 @@ from tidewire.llm.mph import PerfectHash
 
 ODD = [
     "", " ", "\n", "a", " a", "a ", "a  b", "a\n\nb", "a \n b", "\ta\tb", "x\x1cy \x1c z", "a\xa0b", "a  b c", "don't we'll I'M", "3.14 1,000 ½ Ⅷ",
-    "Éan ñandú ßen, œuvre. Ünï", "日本語 テキスト", "é café", "İstanbul ΟΔΟΣ", "<|endoftext|> <|startoftext|>", "!!! ### word!! a.b,c", "a" * 3000, "ab " * 500, "🙂👍🏽 x", "a\x00b", "foo.\nBar, baz",
+    "Éan ñandú ßen, œuvre. Ünï", "日本語 テキスト", "é café", "İstanbul ΟΔΟΣ", "<|endoftext|> <|startoftext|>", "end <|endoftext|> of", "a  <|endoftext|>  b<|startoftext|>c\n<|endoftext|>", "<|ENDOFTEXT|> <|endoftext |>", "x <|endof" "text|>", "!!! ### word!! a.b,c", "a" * 3000, "ab " * 500, "🙂👍🏽 x", "a\x00b", "foo.\nBar, baz",
 ]
 
 
@@ -26,7 +26,6 @@ def texts():
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_units_equal_the_library(name):
     library = Tokenizer.from_file(P.path(name))
-    library.encode_special_tokens = True
     encoder = memo.library_encoder(P.path(name), 4)
     for text in texts():
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)

@@ -3,7 +3,8 @@
 A unit is a run of white space with the run of other characters after it. The splitting patterns of the
 byte-level and of the word vocabularies never look across the start of a unit, so the ids of a text are
 the ids of its units, one after the other. Each distinct unit goes to the tokenizers library once while it
-is remembered; the memory is bounded.
+is remembered; the memory is bounded. A text that holds one of the vocabulary's special tokens literally goes to
+the library whole, which gives that token's id.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import json
 import re
 import struct
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 #: White space as the tokenizers see it: Python's own class without the four separators U+001C to U+001F.
 _UNIT = re.compile(r"[^\S\x1c-\x1f]*(?:\S|[\x1c-\x1f])+|[^\S\x1c-\x1f]+")
@@ -52,15 +53,20 @@ class _Memo(dict):
 
 
 class UnitEncoder:
-    """Encodes texts unit by unit through ``make``, which gives a unit's ids as little-endian bytes."""
+    """Encodes texts unit by unit through ``make``, which gives a unit's ids as little-endian bytes; a text with one of the
+    literals ``added`` goes through ``whole``."""
 
-    def __init__(self, make: Callable[[str], bytes], held: int = HELD):
+    def __init__(self, make: Callable[[str], bytes], held: int = HELD, added: Sequence[str] = (), whole: Callable[[str], bytes] | None = None):
+        self._added, self._whole = tuple(added), whole
         self._units = _Memo(make, held)
         self._spaced = _Memo(lambda part: make(part if part[:1] == "\n" else " " + part), held)
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        for literal in self._added:
+            if literal in text:
+                return self._whole(text)
         if _uneven(text):
             return b"".join(map(self._units.__getitem__, _UNIT.findall(text)))
         first, *rest = text.replace("\n", " \n").split(" ")
@@ -82,10 +88,12 @@ def library_encoder(path: str, width: int) -> UnitEncoder:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     pack = {2: "H", 4: "I"}[width]
     with open(path, encoding="utf-8") as file:
         parts = json.load(file)
+    added = parts["added_tokens"] or []
+    if any(a["normalized"] for a in added):
+        raise ValueError(f"added tokens that are looked for in normalised text are not handled: {path}")
     splitter = parts["pre_tokenizer"] or {}
     blank_stays = splitter.get("type") == "ByteLevel" and splitter["use_regex"] and not splitter["add_prefix_space"]
     steps = (parts["normalizer"] or {}).get("normalizers", [])
@@ -114,7 +122,7 @@ def library_encoder(path: str, width: int) -> UnitEncoder:
 
     words = _Memo(model_ids, HELD)
 
-    return UnitEncoder(make)
+    return UnitEncoder(make, added=[a["content"] for a in added], whole=whole)
 
 
 _ENCODERS: dict[tuple[str, int], UnitEncoder] = {}

@@ -1,49 +1,13 @@
-"""What the corpus operators share: the folder that all executors see, and written intermediate tables."""
+"""What the corpus operators share: written intermediate tables, and the whole text of a row."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OWN: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, from ``spark.checkpoint.dir``; a folder of our own only where that is unset."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = tempfile.mkdtemp(prefix="tidewire-")
-    return _OWN[app]
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; it goes when the driver's interpreter ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    atexit.register(_drop, spark, path)
-    return path
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    except Exception:  # the session has ended before us
-        pass
-
+from ..plans.stage import own_columns, quoted, shared_path, spare_name, with_sums, written
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: its lineage ends there, and a lost executor loses none of it."""
-    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["own_columns", "quoted", "shared_path", "spare_name", "whole_text", "with_sums", "written"]
 
 
 def whole_text(column: str = "text") -> Column:
