@@ -13,8 +13,9 @@ sum is found exactly by counting in ever finer bins, so neither keys nor documen
 The raw model, the weights and k cover every document. The target model is fitted on at most ``sample`` labelled
 documents, those with the smallest hashes of their doc_ids; it is the only bounded part.
 
-Defined results: a null, empty or blank text has no n-grams and the log weight 0; documents that share a doc_id and
-weight share their key and are taken or left together, as are all that tie with the last one taken; without good
+Defined results: a null, empty or blank text has no n-grams and the log weight 0; a label is good if its quality is 1, and
+a label without doc_id or quality does not count; rows that share a doc_id share their variate and each goes by its own
+weight, so equal rows are taken or left together, as are all that tie with the last one taken; without good
 labels every weight is 0 and the share 1, so every document is kept; an empty table gives no rows; other columns are not
 read, and ``keep_target`` hands them on.
 """
@@ -25,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .mph import mix
-from .shared import whole_text, written
+from .shared import own_columns, spare_name, whole_text, written
 
 BUCKETS, SAMPLE, SEED = 1 << 12, 20_000, 20240
 #: N-grams a bucket that the raw model lends to the target model, so that rare buckets weigh little.
@@ -43,23 +44,33 @@ _MIXED = mix(np.arange(256 * 32, dtype=np.uint64), 3).reshape(32, 256)
 
 
 def ngram_buckets(text: str) -> Iterator[np.ndarray]:
-    """Buckets of a text's n-grams, in parts of bounded size; the pair across two parts is counted with the second."""
+    """Buckets of a text's n-grams, in parts of bounded size. A token that goes on in the next part is counted there, with
+    all of its bytes, and so is the pair across two parts."""
     data, last = text.encode(), None
-    at = 0
-    while at < len(data):
-        end = at + _PART
-        if end < len(data):  # cut at white space where there is some
-            end = next((k + 1 for k in range(end, at, -1) if data[k] in b" \n\t\r\x0b\x0c"), end)
-        b = np.frombuffer(data, np.uint8, min(end, len(data)) - at, at)
-        at = end
+    kept, size, total = _SPACE, 0, np.zeros(0, np.uint64)  # the run that the part before ended in
+    for at in range(0, len(data), _PART):
+        b = np.frombuffer(data, np.uint8, min(_PART, len(data) - at), at)
         kind = _KIND[b]
         start = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1]]))
-        place = np.arange(len(b)) - np.repeat(start, np.diff(np.append(start, len(b))))
-        token = np.add.reduceat(_MIXED[place & 31, b], start)[kind[start] != _SPACE] if len(b) else np.zeros(0, np.uint64)
+        sizes = np.diff(np.append(start, len(b)))
+        place = np.arange(len(b)) - np.repeat(start, sizes)
+        goes_on = size > 0 and kind[0] == kept
+        if goes_on:
+            place[: sizes[0]] += size
+        token, kinds = np.add.reduceat(_MIXED[place & 31, b], start), kind[start]
+        if goes_on:
+            token[:1] += total
+            sizes[0] += size
+        elif size:
+            token, kinds = np.concatenate([total, token]), np.concatenate([[kept], kinds])
+        if at + len(b) < len(data):
+            kept, size, total = kinds[-1], int(sizes[-1]), token[-1:]
+            token, kinds = token[:-1], kinds[:-1]
+        token = token[kinds != _SPACE]
         if not len(token):
             continue
-        chain = token if last is None else np.concatenate([[last], token])
-        last = token[-1]
+        chain = token if last is None else np.concatenate([last, token])
+        last = token[-1:]
         pairs = mix(chain[1:] - chain[:-1], 5)
         yield (np.concatenate([mix(token, 4), pairs]) % np.uint64(BUCKETS)).astype(np.int64)
 
@@ -89,7 +100,7 @@ def _vector(counts: DataFrame) -> np.ndarray:
 def log_ratios(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     """The log ratio of target to raw for each bucket, and the share of good labels."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality is not null")
-    n, good = known.agg(F.count("*"), F.coalesce(F.sum("quality"), F.lit(0))).first()
+    n, good = known.agg(F.count("*"), F.count(F.when(F.col("quality") == 1, 1))).first()
     chosen = known.filter("quality = 1").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     target = _vector(bucket_counts(docs.join(F.broadcast(chosen), "doc_id", "left_semi")))  # at most `sample` ids
     raw = _vector(bucket_counts(docs))
@@ -100,26 +111,44 @@ def log_ratios(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tupl
     return np.log(target) - np.log(raw), good / n
 
 
+_WEIGHT = pa.struct([("n_grams", pa.int64()), ("log_weight", pa.float64()), ("key", pa.float64())])
+
+
+def _weigh(ids: pa.Array, texts: pa.Array, ratio: np.ndarray, seed: int) -> list[pa.Array]:
+    """Number of n-grams, log weight, and log weight with the document's Gumbel variate, of each row."""
+    n, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    for k, text in enumerate(texts):
+        for buckets in ngram_buckets(text.as_py()):
+            n[k] += len(buckets)
+            total[k] += ratio[buckets].sum()
+    numbers = ids.fill_null(-1).to_numpy().astype(np.int64)
+    draw = (mix(numbers.view(np.uint64) ^ np.uint64(seed), 9) >> np.uint64(12)).astype(np.float64)
+    gumbel = -np.log(-np.log((draw + 0.5) / (1 << 52)))
+    return [pa.array(n), pa.array(total), pa.array(total + gumbel)]
+
+
 def weights(docs: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFrame:
     """(doc_id, n_grams, log_weight, key): key is the log weight with the document's Gumbel variate."""
     sent = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio = sent.value
         for batch in batches:
-            n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for k, text in enumerate(batch.column(1)):
-                for buckets in ngram_buckets(text.as_py()):
-                    n[k] += len(buckets)
-                    total[k] += ratio[buckets].sum()
-            ids = batch.column(0).fill_null(-1).to_numpy().astype(np.int64)
-            draw = (mix(ids.view(np.uint64) ^ np.uint64(seed), 9) >> np.uint64(12)).astype(np.float64)
-            gumbel = -np.log(-np.log((draw + 0.5) / (1 << 52)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), pa.array(total + gumbel)], names=["doc_id", "n_grams", "log_weight", "key"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_weigh(*batch.columns, sent.value, seed)], names=["doc_id", "n_grams", "log_weight", "key"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(run, "doc_id long, n_grams long, log_weight double, key double")
 
 
+def weight_of(ratios: np.ndarray, spark: SparkSession, seed: int = SEED) -> Column:
+    """The same as a column of a table with doc_id and text: a struct of n_grams, log_weight and key."""
+    sent = spark.sparkContext.broadcast(ratios)
+
+    @F.arrow_udf("struct<n_grams:bigint,log_weight:double,key:double>")
+    def weigh(ids: pa.Array, texts: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays(_weigh(ids, texts, sent.value, seed), fields=list(_WEIGHT))
+
+    return weigh(F.col("doc_id").cast("long"), whole_text())
+
+
 def top_k(rows: DataFrame, k: int, order: str = "key", bins: int = 4096, few: int = 10_000) -> DataFrame:
     """The k rows with the largest ``order`` and those that tie with the last of them. The driver sees bin counts, and
     at the end at most ``few`` keys, or the one key that fills a bin."""
@@ -132,8 +161,13 @@ def top_k(rows: DataFrame, k: int, order: str = "key", bins: int = 4096, few: in
     while True:
         inside = rows.filter((F.col(order) >= low) & (F.col(order) <= high))
         if n <= few or high <= low:
-            keys = sorted((r[0] for r in inside.groupBy(order).count().select(F.explode(F.array_repeat(order, F.col("count").cast("int")))).collect()), reverse=True) if high > low else [low] * max(1, k - above)
-            return rows.filter(F.col(order) >= keys[k - above - 1])
+            if high > low:
+                for key, n in sorted(inside.groupBy(F.col(order).alias("key")).count().collect(), reverse=True):  # at most `few` rows
+                    if above + n >= k:
+                        low = key
+                        break
+                    above += n
+            return rows.filter(F.col(order) >= low)
         step = (high - low) / bins
         if step <= 0 or low + step == low:
             return rows.filter(F.col(order) >= low)
@@ -146,18 +180,22 @@ def top_k(rows: DataFrame, k: int, order: str = "key", bins: int = 4096, few: in
             above += row["n"]
 
 
+def _sampled(scored: DataFrame, share: float, log_weight: str, key: str) -> DataFrame:
+    """The rows with the largest keys, as many as are to be expected from the target."""
+    expected = F.least(F.lit(1.0), F.lit(share) * F.exp(F.least(F.col(log_weight), F.lit(50.0))))
+    return top_k(scored, round(scored.agg(F.coalesce(F.sum(expected), F.lit(0.0))).first()[0]), key)
+
+
 def resample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The sampled documents: doc_id, n_grams, log_weight, key."""
     ratios, share = log_ratios(docs, labels, sample)
-    scored = written(weights(docs, ratios), "weights")
-    expected = F.least(F.lit(1.0), F.lit(share) * F.exp(F.least("log_weight", F.lit(50.0))))
-    k = round(scored.agg(F.coalesce(F.sum(expected), F.lit(0.0))).first()[0])
-    return top_k(scored, k)
+    return _sampled(written(weights(docs, ratios), "weights"), share, "log_weight", "key")
 
 
 def keep_target(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` without the documents that the sampling leaves out."""
-    id_ = "_tidewire_id"
-    kept = resample(docs, labels, sample).select(F.col("doc_id").alias(id_)).distinct()
-    rows = docs.withColumn(id_, F.col("doc_id").cast("long"))
-    return rows.join(kept, rows[id_].eqNullSafe(kept[id_]), "left_semi").select(docs.columns)
+    """``docs`` without the rows that the sampling leaves out. Each row goes by its own weight, which stands in a column
+    beside its others until the sample is drawn, so no row is found again by its doc_id."""
+    ratios, share = log_ratios(docs, labels, sample)
+    held = spare_name(docs, "weight")
+    scored = written(docs.select(*own_columns(docs), weight_of(ratios, docs.sparkSession).alias(held)), "weighted")
+    return _sampled(scored, share, f"{held}.log_weight", f"{held}.key").select(own_columns(docs))
