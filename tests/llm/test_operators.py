@@ -309,14 +309,14 @@ def test_near_groups_equal_brute_force(spark):
     assert 12 < len({*root}) < len(texts)
 
 
-@pytest.mark.parametrize("tile", [1024, 8])
-def test_exact_links_hold_at_any_tile(spark, tile):
+@pytest.mark.parametrize(("tile", "tile_bytes"), [(1024, 1 << 25), (8, 1 << 25), (1024, 2000)])
+def test_exact_links_hold_at_any_tile(spark, tile, tile_bytes):
     own = [f"w{k}" for k in range(60)]
     texts = [" ".join([*own[:60 - k], *(f"x{k}{i}" for i in range(k))]) for k in range(0, 24, 2)]
     fps = [simhash._bytes(simhash.fingerprint(t, 5, 4)) for t in texts]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    members = spark.createDataFrame([(bytearray(f), bytearray(b"r"), k) for k, f in enumerate(fps)], "fp binary, root binary, class_id long")
-    links = simhash.exact_links(frame, members, 5, 4, 256, 0.8, tile)
+    members = spark.createDataFrame([(bytearray(f), bytearray(b"r"), k) for k, f in enumerate(fps)], "fp binary, root binary, row long")
+    links = simhash.exact_links(frame.withColumnRenamed("doc_id", "row"), members, 5, 4, 256, 0.8, tile, tile_bytes)
     roots = {bytes(r["node"]): bytes(r["root"]) for r in simhash.components(links).collect()}
     sets = [plain_shingles(t) for t in texts]
     for i, a in enumerate(sets):

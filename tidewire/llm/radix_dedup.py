@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import whole_text, written
+from .shared import own_columns, spare_name, whole_text, written
 
 #: Bytes in the first digit, and how many times as many the next one has.
 FIRST, GROWTH = 64, 16
@@ -34,42 +34,48 @@ def normalised(column: str = "text") -> Column:
     return F.translate(whole_text(column), _UPPER, _LOWER)
 
 
-def equal_texts(docs: DataFrame) -> DataFrame:
-    """A row for each row of ``docs``: doc_id, keep_id (the largest doc_id of its group), group_size, kept, text_sha256."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised().alias("text"))
-    active = rows.select("doc_id", F.lit(0).cast("long").alias("part"), F.encode("text", "UTF-8").alias("rest"), F.sha2("text", 256).alias("text_sha256"))
+def _grouped(active: DataFrame, carried: list[str]) -> DataFrame:
+    """A row for each row of ``active`` (id, text, already normalised, and ``carried``): id, ``carried``, and keep_id, the
+    largest id of the row's group, and group_size."""
+    active = active.select("id", *carried, F.lit(0).cast("long").alias("part"), F.encode("text", "UTF-8").alias("rest"))
     width, done = FIRST, []
     while True:
-        digit = F.substring("rest", 1, width)
-        keyed = active.select("doc_id", "part", digit.alias("digit"), F.when(F.length("rest") >= width, F.col("rest").substr(F.lit(width + 1), F.length("rest"))).alias("rest"), "text_sha256")
-        counts = active.groupBy("part", digit.alias("digit")).agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
+        digit = F.substring("rest", 1, width).alias("digit")
+        keyed = active.select("id", *carried, "part", digit, F.when(F.length("rest") >= width, F.col("rest").substr(F.lit(width + 1), F.length("rest"))).alias("rest"))
+        counts = active.groupBy("part", digit).agg(F.count("*").alias("group_size"), F.max("id").alias("keep_id"))
         counts = written(counts.select("*", F.monotonically_increasing_id().alias("new_part")), "radix-counts")
         over = (F.col("group_size") == 1) | F.col("rest").isNull()
         split = keyed.join(counts, ["part", "digit"]).select(
-            "doc_id", "keep_id", "group_size", "text_sha256", F.col("new_part").alias("part"), F.when(~over, F.col("rest")).alias("rest")
+            "id", "keep_id", "group_size", *carried, F.col("new_part").alias("part"), F.when(~over, F.col("rest")).alias("rest")
         )
         split = written(split, "radix-rows")
         done.append(split.filter("rest is null"))
-        active = split.filter("rest is not null").select("doc_id", "part", "rest", "text_sha256")
+        active = split.filter("rest is not null").select("id", *carried, "part", "rest")
         width *= GROWTH
         if active.isEmpty():
             break
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return out.select("id", *carried, "keep_id", "group_size")
+
+
+def equal_texts(docs: DataFrame) -> DataFrame:
+    """A row for each row of ``docs``: doc_id, keep_id (the largest doc_id of its group), group_size, kept, text_sha256."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), normalised().alias("text"))
+    out = _grouped(rows.select("id", "text", F.sha2("text", 256).alias("text_sha256")), ["text_sha256"])
+    return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def keep_largest(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts: the one with the largest doc_id, and one of several
-    with that doc_id. All columns stay as they are."""
-    digest, id_ = "_tidewire_sha256", "_tidewire_id"
-    found = equal_texts(docs).select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(digest), "kept")
-    rows = docs.withColumn(digest, F.sha2(normalised(), 256)).withColumn(id_, F.col("doc_id").cast("long"))
-    both = lambda other: rows[id_].eqNullSafe(other[id_]) & (rows[digest] == other[digest])
-    dropped = found.filter("not kept").select(id_, digest).distinct()
-    rows = rows.join(dropped, both(dropped), "left_anti")
-    repeated = found.filter("kept").groupBy(id_, digest).count().filter("count > 1").select(id_, digest)
-    once = rows.join(repeated, both(repeated), "left_anti")
-    one = rows.join(repeated, both(repeated), "left_semi").dropDuplicates([id_, digest])
-    return once.unionByName(one).select(docs.columns)
+    with that doc_id. All columns stay as they are.
+
+    The rows are numbered once, in a written table; the rounds carry numbers and texts alone, and the rows to drop are
+    found again by their numbers."""
+    number = spare_name(docs, "row")
+    rows = written(docs.select(*own_columns(docs), F.monotonically_increasing_id().alias(number)), "numbered-rows")
+    id_ = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col(number).alias("row"))
+    found = _grouped(rows.select(id_.alias("id"), normalised().alias("text")), [])
+    dropped = found.filter(F.col("id")["row"] != F.col("keep_id")["row"]).select(F.col("id")["row"].alias(number))
+    return rows.join(dropped, number, "left_anti").select(own_columns(docs))

@@ -43,17 +43,19 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .mph import mix
-from .shared import whole_text, written
+from .shared import own_columns, spare_name, whole_text, with_sums, written
 
 SEED = 42
 #: Rows of a bucket that one task compares with each other.
 TILE = 4096
 #: The same where the rows bring their shingles along.
 EXACT_TILE = 1024
+#: Bytes of shingles that a tile's half may have on average.
+EXACT_BYTES = 32 << 20
 _CHUNK = 1 << 14
 #: Words of a plane, over all lags, that are compared at once; and shingles that are numbered at once.
 _WORDS, _MARKED = 1 << 12, 1 << 22
@@ -135,14 +137,15 @@ def least_hashes(held: np.ndarray, n: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int, lanes: int, bands: int, width: int) -> DataFrame:
-    """(doc_id, digest, fp, keys): a row for each row of ``docs``; the text's digest, a bit of each of the ``64 * lanes``
-    least hashes with the digest of the set behind them, and a key for each band of ``width`` least hashes."""
+    """(id, fp, keys): a row for each row of ``docs`` (id, text); fp is a bit of each of the ``64 * lanes`` least hashes with
+    the digest of the set behind them, and keys has one for each band of ``width`` least hashes."""
+    kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sets = [shingle_set(t.as_py(), words) for t in batch.column(2)]
+            sets = [shingle_set(t.as_py(), words) for t in batch.column(1)]
             least = np.stack([least_hashes(s, 64 * lanes) for s in sets]).astype(np.uint64)
             bits = np.packbits((mix(least, 4) & np.uint64(1)).astype(bool), axis=1)
             fps = [b.tobytes() + _set_digest(s) for b, s in zip(bits, sets, strict=True)]
@@ -150,10 +153,9 @@ def sketches(docs: DataFrame, words: int, lanes: int, bands: int, width: int) ->
             for k in range(width):
                 key = mix(key ^ least[:, k : bands * width : width], 5)
             keys = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.binary()), keys], names=["doc_id", "digest", "fp", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary()), keys], names=["id", "fp", "keys"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_digest().alias("digest"), whole_text().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, digest long, fp binary, keys array<long>")
+    return docs.select("id", "text").mapInArrow(run, f"id {kind}, fp binary, keys array<long>")
 
 
 def _shared_keys(classes: DataFrame) -> DataFrame:
@@ -161,11 +163,7 @@ def _shared_keys(classes: DataFrame) -> DataFrame:
     entries = classes.select(F.explode("keys").alias("key"), F.xxhash64("fp").alias("number"))
     shared = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     entries = written(entries.join(shared, "key", "left_semi"), "shared-keys")
-    return entries.join(classes.select(F.xxhash64("fp").alias("number"), "fp"), "number").select("key", "fp")
-
-
-def _text_digest() -> Column:
-    return F.xxhash64(whole_text())
+    return written(entries.join(classes.select(F.xxhash64("fp").alias("number"), "fp"), "number").select("key", "fp"), "key-entries")
 
 
 def _lanes(masks: list[int], lanes: int) -> np.ndarray:
@@ -320,44 +318,37 @@ def class_links(classes: DataFrame, masks: list[int], lanes: int, radius: int, t
                         key = mix((rows[:, lane] & mask[lane]) ^ mix(key, int(lane) + 2), 1)
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), fps], names=["key", "fp"])
 
-    return key_links(classes.mapInArrow(keys, "key long, fp binary"), lanes, radius, tile)
+    return key_links(written(classes.mapInArrow(keys, "key long, fp binary"), "keys"), lanes, radius, tile)
 
 
 def key_links(entries: DataFrame, lanes: int, radius: int, tile: int = TILE) -> DataFrame:
-    """The same from ``entries`` (key, fp): only fingerprints with an equal key are compared."""
-    sizes = written(entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash-buckets")
+    """The same from ``entries`` (key, fp), a written table: only fingerprints with an equal key are compared."""
+    sizes = written(entries.groupBy("key").agg(F.count("*").alias("n"), F.count("*").alias("size")).filter("n > 1"), "simhash-buckets")
     return _tiled_links(entries, sizes, lanes, radius, tile)
 
 
-def exact_links(docs: DataFrame, members: DataFrame, words: int, lanes: int, radius: int, similarity: float, tile: int = EXACT_TILE, sketched: bool = False) -> DataFrame:
-    """(a, b): links between the classes ``members`` (fp, root, class_id) of one component whose shingles overlap by
-    ``similarity``. class_id is the doc_id of a row of the class; if ``sketched``, fp ends with the digest of the class's set."""
-    name = F.substring("fp", 8 * lanes + 1, _DIGEST) if sketched else F.col("fp")
-    members = written(members.select("fp", name.alias("name"), F.xxhash64("root").alias("key"), "class_id"), "near-classes")
-    asked = members.select("class_id").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    texts = texts.join(asked, texts["doc_id"].eqNullSafe(asked["class_id"]), "left_semi").select("text")
+def exact_links(texts: DataFrame, members: DataFrame, words: int, lanes: int, radius: int, similarity: float, tile: int = EXACT_TILE, tile_bytes: int = EXACT_BYTES) -> DataFrame:
+    """(a, b): links between the classes ``members`` (fp, root, row) of one component whose shingles overlap by
+    ``similarity``; ``texts`` (row, text) has the text of each class. A tile has so many rows and, on average, at most so
+    many bytes of shingles."""
+    texts = texts.join(members.select("row", "fp", F.xxhash64("root").alias("key")), "row").select("key", "fp", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, held = [], []
-            for text in batch.column(0):
-                text = text.as_py()
-                held.append(shingle_set(text, words))
-                names.append(_set_digest(held[-1]) if sketched else _bytes(fingerprint(text, words, lanes)))
-            shingles = [h.astype("<u8").tobytes() for h in held]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(shingles, pa.binary())], names=["name", "shingles"])
+            shingles = [shingle_set(t.as_py(), words).astype("<u8").tobytes() for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(shingles, pa.binary())], names=["key", "fp", "shingles"])
 
-    entries = texts.mapInArrow(sets, "name binary, shingles binary").join(members.select("name", "fp", "key"), "name").select("key", "fp", "shingles")
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
-    return _tiled_links(entries, sizes, lanes, radius, tile, similarity)
+    entries = written(texts.mapInArrow(sets, "key long, fp binary, shingles binary"), "near-sets")
+    weight = F.greatest(F.count("*") / tile, F.sum(F.length("shingles").cast("long")) / tile_bytes) * tile
+    sizes = entries.groupBy("key").agg(F.count("*").alias("n"), weight.alias("size"))
+    return _tiled_links(entries, written(sizes, "near-sizes"), lanes, radius, tile, similarity)
 
 
 def _tiled_links(entries: DataFrame, sizes: DataFrame, lanes: int, radius: int, tile: int, similarity: float | None = None) -> DataFrame:
     """(a, b): links between the rows of ``entries`` (key, fp, and shingles for the exact check) with an equal key, each
-    bucket of ``sizes`` (key, n) dealt out in tiles."""
-    chunks = F.ceil(F.col("n") / tile).cast("int")
-    held = entries.join(sizes, "key").select(*entries.columns, chunks.alias("g"), F.pmod(F.xxhash64("fp"), chunks).cast("int").alias("c"))
+    bucket of ``sizes`` (key, n, size) dealt out in tiles of ``tile`` by its size."""
+    chunks = F.ceil(F.col("size") / tile).cast("int")
+    held = with_sums(entries, sizes, "key").filter("size is not null").select(*entries.columns, chunks.alias("g"), F.pmod(F.xxhash64("fp"), chunks).cast("int").alias("c"))
     other = F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("o")
     tiles = held.select(*entries.columns, "c", other).select(*entries.columns, F.least("c", "o").alias("t1"), F.greatest("c", "o").alias("t2"))
 
@@ -397,18 +388,21 @@ def _tiled_links(entries: DataFrame, sizes: DataFrame, lanes: int, radius: int,
     return dealt.mapInArrow(compare, "a binary, b binary").distinct()
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """``edges`` (a, b) with m, the least neighbour of a. A star's centre stays where its edges are (see ``with_sums``)."""
+    return with_sums(edges, written(edges.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("m")), "least"), "a")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the least node of each linked node's component."""
     edges = written(links.select("a", "b").filter("a <> b"), "links")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        large = _with_least(both).filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).filter("a <> b")
         edges = written(large.distinct(), "large-stars")
         down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+        small = _with_least(down).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         edges = written(small.filter("a <> b").distinct(), "small-stars")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
@@ -417,10 +411,10 @@ def components(links: DataFrame) -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
 
 
-def _rooted(classes: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``classes`` with the root of each one's component; and of them those in components of more than one class."""
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    return rooted, rooted.join(roots.select("root").distinct(), "root", "left_semi")
+def _rooted(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``classes`` with the root of each one's component, null for a class without links."""
+    members = roots.select(F.col("node").alias("fp"), "root").unionByName(roots.select(F.col("root").alias("fp"), "root").distinct())
+    return classes.join(members, "fp", "left")
 
 
 def near_components(
@@ -428,14 +422,16 @@ def near_components(
 ) -> DataFrame:
     """(fp, component_id, class_id, class_size) for each of ``classes`` (fp, class_id, class_size): the smallest class_id
     that its links reach. ``links`` takes the classes and gives their links (a, b); ``check`` takes the linked classes
-    (fp, root, class_id) and gives the links that hold."""
+    (fp, class_id, root) and gives the links that hold."""
     found = links(classes)
     classes = classes.select("fp", "class_id", "class_size")
-    rooted, linked = _rooted(classes, components(found))
+    rooted = written(_rooted(classes, components(found)), "rooted")
     if check is not None:
-        rooted, linked = _rooted(classes, components(check(linked)))
-    least = linked.groupBy("root").agg(F.min("class_id").alias("least"))
-    return rooted.join(least, "root", "left").select("fp", F.coalesce("least", "class_id").alias("component_id"), "class_id", "class_size")
+        rooted = written(_rooted(classes, components(check(rooted.filter("root is not null")))), "rooted")
+    linked = rooted.filter("root is not null")
+    least = written(linked.groupBy("root").agg(F.count("*").alias("n"), F.min("class_id").alias("component_id")), "least-classes")
+    alone = rooted.filter("root is null").select("fp", F.col("class_id").alias("component_id"), "class_id", "class_size")
+    return with_sums(linked, least, "root").select(alone.columns).unionByName(alone)
 
 
 def simhash_components(docs: DataFrame, words: int = 3, radius: int = 3, chosen: int = 2) -> DataFrame:
@@ -443,8 +439,8 @@ def simhash_components(docs: DataFrame, words: int = 3, radius: int = 3, chosen:
     found = written(fingerprints(docs, words), "fingerprints")
     classes = written(found.groupBy("fp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "classes")
     links = lambda own: class_links(own.select("fp"), block_keys(64, radius, chosen), 1, radius)
-    grouped = written(near_components(classes, links), "components")
-    return found.join(grouped, "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id", "class_id", "class_size")
+    grouped = written(near_components(classes, links).withColumn("n", F.col("class_size")), "components")
+    return with_sums(found, grouped, "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id", "class_id", "class_size")
 
 
 def one_of_each_group(
@@ -457,26 +453,19 @@ def one_of_each_group(
     cases. That holds for texts of any length. Unrelated texts differ in 128 bits, with a deviation of 8. What the radius
     lets in below ``similarity`` the exact check turns away.
 
-    Only equal sets of shingles are one class without that check. A row goes by its own doc_id and text: other texts of its
-    doc_id stay. Rows without a doc_id come after all others; of several with one doc_id the one with the least XXH64 of
-    its text stays, and one of several equal ones.
+    Only equal sets of shingles are one class without that check. The rows are numbered once, in a written table, and a row
+    goes by its number: other rows of its doc_id stay. Rows without a doc_id come after all others; of several with one
+    doc_id the one with the least XXH64 of its text stays, and one of several equal ones.
     """
-    id_, digest = "_tidewire_id", "_tidewire_xxh64"
-    found = written(sketches(docs, words, lanes, bands, width), "sketches")
-    row = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "digest")
-    classes = found.groupBy("fp").agg(F.min(row).alias("class_id"), F.count("*").alias("class_size"), F.first("keys").alias("keys"))
+    number = spare_name(docs, "row")
+    rows = written(docs.select(*own_columns(docs), F.monotonically_increasing_id().alias(number)), "numbered-rows")
+    id_ = F.struct(F.isnull("doc_id").alias("no_id"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("digest"), F.col(number).alias("row"))
+    found = written(sketches(rows.select(id_.alias("id"), whole_text().alias("text")), words, lanes, bands, width), "sketches")
+    classes = found.groupBy("fp").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"), F.first("keys").alias("keys"))
     links = lambda own: key_links(_shared_keys(own), lanes, radius)
-    named = ["fp", "root", F.col("class_id.doc_id").alias("class_id")]
-    check = lambda members: exact_links(docs, members.select(named), words, lanes, radius, similarity, sketched=True)
-    grouped = written(near_components(written(classes, "classes"), links, check), "components")
-    near = grouped.filter((F.col("component_id") != F.col("class_id")) | (F.col("class_size") > 1))
-    told = found.join(near, "fp").select(F.col("doc_id").alias(id_), F.col("digest").alias(digest), row.eqNullSafe(F.col("component_id")).alias("kept"))
-    told = written(told.groupBy(id_, digest, "kept").agg(F.count("*").alias("n")), "near-rows")
-    rows = docs.withColumn(id_, F.col("doc_id").cast("long")).withColumn(digest, _text_digest())
-    both = lambda other: rows[id_].eqNullSafe(other[id_]) & (rows[digest] == other[digest])
-    dropped, repeated = told.filter("not kept").select(id_, digest), told.filter("kept and n > 1").select(id_, digest)
-    rows = rows.join(dropped, both(dropped), "left_anti")
-    if not repeated.isEmpty():
-        one = rows.join(repeated, both(repeated), "left_semi").dropDuplicates([id_, digest])
-        rows = rows.join(repeated, both(repeated), "left_anti").unionByName(one)
-    return rows.select(docs.columns)
+    texts = rows.select(F.col(number).alias("row"), whole_text().alias("text"))
+    check = lambda linked: exact_links(texts, linked.select("fp", "root", F.col("class_id.row").alias("row")), words, lanes, radius, similarity)
+    grouped = near_components(written(classes, "classes"), links, check)
+    near = written(grouped.filter((F.col("component_id") != F.col("class_id")) | (F.col("class_size") > 1)).select("fp", F.col("component_id.row").alias("kept"), F.col("class_size").alias("n")), "near-classes")
+    told = with_sums(found.select("fp", F.col("id.row").alias("row")), near, "fp").filter("kept is not null and row <> kept")
+    return rows.join(told.select(F.col("row").alias(number)), number, "left_anti").select(own_columns(docs))
