@@ -176,7 +176,8 @@ _ARROW = pa.schema([
 
 
 def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The records of the archives in ``archives`` (path); an archive is read by one task, record by record."""
+    """The records of the archives in ``archives`` (path). Each archive is read by one task, record by record, and there
+    are as many tasks as archives: the number is given, as the paths' few bytes would be merged into one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +192,7 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
-    return archives.select("path").repartition("path").mapInArrow(run, RECORDS)
+    return archives.select("path").repartitionByRange(max(1, archives.count()), "path").mapInArrow(run, RECORDS)
 
 
 def assemble(records: DataFrame) -> DataFrame:
