@@ -35,8 +35,8 @@ from .shared import shared_path, whole_text, written
 MAGIC = 0x31305344494B4F54
 MANIFEST = "shard int, path string, documents long, tokens long, first_key long, last_key long, null_keys long"
 
-#: Documents in a shard, on average.
-SHARD_DOCUMENTS = 8192
+#: Documents in a shard, on average; and shards in a block of the sums over the manifest.
+SHARD_DOCUMENTS, _BLOCK = 8192, 1024
 
 
 def _key_hash(keys: np.ndarray) -> np.ndarray:
@@ -145,15 +145,24 @@ class Shard:
         self.file.close()
 
 
+def _bases(manifest: DataFrame) -> DataFrame:
+    """``manifest`` with ``base``, the tokens in all shards before: summed within blocks of shards, and over the blocks."""
+    block = manifest.withColumn("block", F.floor(F.col("shard") / _BLOCK))
+    totals = block.groupBy("block").agg(F.sum("tokens").alias("in_block"))
+    ahead = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each block of shards
+    totals = totals.select("block", F.coalesce(F.sum("in_block").over(ahead), F.lit(0)).alias("before"))
+    within = Window.partitionBy("block").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return block.join(totals, "block").withColumn("base", F.col("before") + F.coalesce(F.sum("tokens").over(within), F.lit(0)))
+
+
 def read_store(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
     """A row for each document, from the files: key, first token over all shards, number of tokens, crc32 of the
     ids as 32-bit integers, and the ids themselves if asked for. Documents are found through the index."""
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = manifest.select("path", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
+    shards = _bases(manifest).select("path", "base", "shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, base in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for path, base in zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True):
                 shard, seen = Shard(path), 0
                 known = [k for k in shard.keys if k is not None]
                 nulls = shard.documents - len(known)
@@ -176,7 +185,8 @@ def read_store(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
                 if rows:
                     yield _rows(rows)
 
-    out = shards.repartition("path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    spread = shards.repartitionByRange(max(1, manifest.count()), "shard")  # a task for each shard; they are not merged by size
+    out = spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
     return out if with_ids else out.drop("ids")
 
 
@@ -185,18 +195,61 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 
 
+def _routed(manifest: DataFrame, asked: DataFrame) -> DataFrame:
+    """(path, shard, doc_id): the shards whose range of keys holds each asked key.
+
+    A key lies in every shard that begins with it, which is a join, and in the last one that begins before it and ends with
+    it or later. For that one, keys and shards are dealt out together by ranges and sorted, and the last shard seen is handed
+    on; what stands before a range's first shard takes the last shard of the ranges before it, a row for each range.
+    """
+    shards = manifest.filter("first_key is not null").select("shard", "path", "first_key", "last_key")
+    begun = asked.join(shards, asked["doc_id"] == shards["first_key"]).select("path", "shard", "doc_id")
+    none = lambda kind: F.lit(None).cast(kind)
+    both = shards.select(F.col("first_key").alias("key"), "shard", "path", "last_key")
+    both = both.unionByName(asked.select(F.col("doc_id").alias("key"), none("int").alias("shard"), none("string").alias("path"), none("long").alias("last_key")))
+    n = max(1, manifest.count())
+    dealt = both.repartitionByRange(n, "key").sortWithinPartitions("key", F.asc_nulls_first("shard"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seen = TaskContext.get().partitionId(), (None, None, None)
+        for batch in batches:
+            out = []
+            for key, shard, path, last in zip(*(batch.column(c).to_pylist() for c in ("key", "shard", "path", "last_key")), strict=True):
+                if shard is not None:
+                    seen = (shard, path, last)
+                elif seen[0] is None or seen[2] >= key:
+                    out.append((part, key, *seen))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _SEEN, strict=True)], names=_SEEN_NAMES)
+        if seen[0] is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((part, None, *seen), _SEEN, strict=True)], names=_SEEN_NAMES)
+
+    found = written(dealt.mapInArrow(run, "part int, doc_id long, shard int, path string, last_key long"), "routes")
+    ends = found.filter("doc_id is null").select(F.col("part").alias("end"), F.struct("shard", "path", "last_key").alias("at"))
+    early = found.filter("doc_id is not null and shard is null")
+    parts = early.select("part").distinct().select("part", F.col("part").alias("end"), F.lit(None).cast("struct<shard:int,path:string,last_key:bigint>").alias("at"))
+    order = Window.orderBy("end", F.isnull("part")).rowsBetween(Window.unboundedPreceding, -1)  # a row or two for each range
+    carried = ends.select(F.lit(None).cast("int").alias("part"), "end", "at").unionByName(parts)
+    carried = carried.select("part", F.last("at", ignorenulls=True).over(order).alias("at")).filter("part is not null and at is not null")
+    late = early.select("part", "doc_id").join(carried, "part").filter(F.col("at.last_key") >= F.col("doc_id")).select("at.path", "at.shard", "doc_id")
+    held = found.filter("doc_id is not null and shard is not null").select("path", "shard", "doc_id")
+    return begun.unionByName(held).unionByName(late)
+
+
+_SEEN_NAMES, _SEEN = ["part", "doc_id", "shard", "path", "last_key"], [pa.int32(), pa.int64(), pa.int32(), pa.string(), pa.int64()]
+
+
 def lookup(manifest: DataFrame, keys: DataFrame) -> DataFrame:
     """The ids of the documents that ``keys`` (doc_id) asks for: (doc_id, ids), a row for each asked row and document
     with that key. Keys go to the shards whose range holds them, and each shard is opened once for its keys."""
     asked = keys.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null")
-    ranges = manifest.filter("first_key is not null").select("path", "first_key", "last_key")
-    sent = asked.join(ranges, (F.col("doc_id") >= F.col("first_key")) & (F.col("doc_id") <= F.col("last_key"))).select("path", "doc_id")
+    sent = _routed(manifest, asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: dict[str, Shard] = {}
         for batch in batches:
             rows = []
-            for path, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for path, key in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if path not in opened:
                     for old in opened.values():
                         old.close()
@@ -205,4 +258,5 @@ def lookup(manifest: DataFrame, keys: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array([i for _, i in rows], pa.binary())], names=["doc_id", "ids"])
 
-    return sent.repartition("path").sortWithinPartitions("path", "doc_id").mapInArrow(run, "doc_id long, ids binary")
+    spread = sent.repartitionByRange(max(1, manifest.count()), "shard").sortWithinPartitions("shard", "doc_id")
+    return spread.mapInArrow(run, "doc_id long, ids binary")
