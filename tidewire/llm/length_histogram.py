@@ -72,9 +72,12 @@ def length_histogram(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def cut_total(sums: DataFrame, limit: int) -> DataFrame:
-    """One row: tokens left when every document is cut at ``limit``, whether or not a document has that length."""
-    at = F.least(F.col("length"), F.lit(limit))
-    return sums.agg(F.coalesce(F.sum(at * F.col("documents")), F.lit(0)).alias("tokens"))
+    """One row: tokens left when every document is cut at ``limit``, whether or not a document has that length. By the suffix
+    sums of the next length that occurs: what is not in longer documents, and ``limit`` tokens of each of those."""
+    longer = F.when(F.col("length") > limit, F.col("length"))
+    at = sums.agg(F.max("all_tokens").alias("all"), F.min_by("tokens_from", longer).alias("tokens"), F.min_by("documents_from", longer).alias("documents"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return at.select((zero("all") - zero("tokens") + zero("documents") * limit).alias("tokens"))
 
 
 def quantile(sums: DataFrame, q: float) -> DataFrame:
