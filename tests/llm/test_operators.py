@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import itertools
+import math
 import random
 import zlib
 
@@ -141,6 +142,102 @@ def test_quality_weights_and_top_k(spark, docs, rows):
         assert found == keys[: max(k, 0)]
 
 
+def test_quality_tokens_go_on_over_parts():
+    draw = random.Random(9)
+    assert sum(map(len, quality.ngram_buckets("ab" * 300_000))) == 1
+    assert sum(map(len, quality.ngram_buckets("ab" * 300_000 + " " + "!" * 700_000))) == 3
+    text = "".join(draw.choices("ab1é !?\n", k=2000))
+    assert sorted(b for part in quality.ngram_buckets(text) for b in part.tolist()) == sorted(plain_buckets(text))
+
+
+_LOW = (1 << 64) - 1
+
+
+def plain_mix(x, seed):
+    """Splitmix64's finisher over a value moved by a seed."""
+    x = x + 0x9E3779B97F4A7C15 * (seed + 1) & _LOW
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _LOW
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & _LOW
+    return x ^ x >> 31
+
+
+def plain_buckets(text):
+    """Buckets of tokens and neighbouring tokens, a byte at a time: runs of letters and digits, and runs of other marks."""
+    tokens, kind_before = [], None
+    for b in (text or "").encode():
+        kind = "space" if b in b" \t\n\x0b\x0c\r" else "word" if b >= 128 or chr(b).isalnum() else "mark"
+        if kind != "space":
+            if kind != kind_before:
+                tokens.append([])
+            tokens[-1].append(b)
+        kind_before = kind
+    hashes = [sum(plain_mix((k % 32) * 256 + b, 3) for k, b in enumerate(t)) & _LOW for t in tokens]
+    return [plain_mix(h, 4) % 4096 for h in hashes] + [plain_mix((b - a) & _LOW, 5) % 4096 for a, b in itertools.pairwise(hashes)]
+
+
+def plain_sample(rows, labels):
+    """Importance resampling without the operator: models, weights, variates, the number to draw, and the draw."""
+    buckets = [plain_buckets(t) for _, t in rows]
+    known = [(d, q) for d, q in labels if d is not None and q is not None]
+    good = {d for d, q in known if q == 1}
+    raw, target = [0] * 4096, [0] * 4096
+    for (d, _), own in zip(rows, buckets, strict=True):
+        for b in own:
+            raw[b] += 1
+            target[b] += d in good
+    if not known or not sum(target):
+        return list(range(len(rows)))
+    p = [(n + 1) / (sum(raw) + 4096) for n in raw]
+    q = [(n + 64 * 4096 * x) / (sum(target) + 64 * 4096) for n, x in zip(target, p, strict=True)]
+    weight = [sum(math.log(q[b]) - math.log(p[b]) for b in own) for own in buckets]
+    share = sum(q == 1 for _, q in known) / len(known)
+    k = round(sum(min(1, share * math.exp(min(w, 50))) for w in weight))
+    uniform = [((plain_mix((-1 if d is None else d) ^ 20240, 9) >> 12) + 0.5) / 2**52 for d, _ in rows]
+    key = [w - math.log(-math.log(u)) for w, u in zip(weight, uniform, strict=True)]
+    last = sorted(key, reverse=True)[k - 1] if 0 < k <= len(rows) else math.inf if k <= 0 else -math.inf
+    return [n for n, x in enumerate(key) if x >= last - 1e-12]
+
+
+def test_quality_sample_equals_brute_force(spark, rows):
+    draw = random.Random(10)
+    good = "the of and ein der".split()
+    texts = [(k, t) for k, t, *_ in rows] + [(1000 + k, " ".join(draw.choices(good, k=60))) for k in range(30)] + [(3, "x1 ## !!"), (None, "the of"), (None, "!! ##"), (None, None), (7, texts_of_7 := "the the of"), (7, texts_of_7)]
+    labels = [(k, int(k >= 1000)) for k, _ in texts if k is not None and k % 2 == 0] + [(None, 1), (5, None), (1001, 2), (1001, 1)]
+    frame = spark.createDataFrame([(*r, n, "c") for n, r in enumerate(texts)], "doc_id long, text string, `weight` int, `a.b` string").repartition(3)
+    given = spark.createDataFrame(labels, "doc_id long, quality int")
+    expected = plain_sample(texts, labels)
+    assert 0 < len(expected) < len(texts)
+    kept = quality.keep_target(frame, given)
+    assert kept.columns == frame.columns and sorted(r["weight"] for r in kept.collect()) == expected
+    found = quality.resample(frame, given).collect()
+    assert sorted((r["doc_id"] or -1) for r in found) == sorted((texts[n][0] or -1) for n in expected)
+
+
+ODD_COLUMNS = "doc_id long, text string, row int, Row_ string, `a.b` string, _tidewire_id int, fp string, id string, weight double, `x``y` int"
+
+
+def odd_rows(spark, rows):
+    return spark.createDataFrame([(d, t, 7, "r", "dot", 77, "f", "i", 0.5, 3) for d, t in rows], ODD_COLUMNS).repartition(3)
+
+
+def test_stages_hand_on_odd_columns(spark):
+    """Names with dots and quote marks, and names that helpers might have."""
+    long_ = " ".join(f"w{k}" for k in range(90))
+    frame = odd_rows(spark, [(1, "a b c"), (1, "a b c"), (1, "z"), (2, "A b c"), (None, "q"), (None, "q"), (None, None), (3, long_), (4, long_ + " more")])
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    for stage, kept in (
+        (lambda d: quality.keep_target(d, labels), None),
+        (radix_dedup.keep_largest, [(1, "z"), (2, "A b c"), (3, long_), (4, long_ + " more"), (None, None), (None, "q")]),
+        (simhash.one_of_each_group, [(1, "a b c"), (1, "z"), (3, long_), (None, None), (None, "q")]),
+    ):
+        out = stage(frame)
+        assert out.columns == frame.columns
+        found = out.collect()
+        assert all(tuple(r)[2:] == (7, "r", "dot", 77, "f", "i", 0.5, 3) for r in found)
+        if kept is not None:
+            assert sorted(((r["doc_id"], r["text"]) for r in found), key=str) == sorted(kept, key=str)
+
+
 def test_quality_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     documents, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
@@ -189,6 +286,22 @@ def test_warc_round_trip(spark):
             assert r["response"]["refers_to"].split(":")[3] == str(keeper)
 
 
+def test_warc_query_equals_brute_force(spark, tmp_path):
+    draw = random.Random(18)
+    html = ["", None, "é", "a", "a", *(draw.choice(["p", "q", "<p>" + "y" * 3000]) for _ in range(40))]
+    ids = draw.sample(range(-5, 200), len(html))
+    rows = [(k, draw.choice([None, "", "http://h.example/a?b", "no address at all"]), t, "x") for k, t in zip(ids, html, strict=True)]
+    spark.createDataFrame(rows, "page_id long, url string, html string, record_type string").repartition(4).write.parquet(f"{tmp_path}/pages.parquet")
+    payloads = {k: (t or "").encode() for k, _, t, _ in rows}
+    expected = []
+    for k, data in payloads.items():
+        first = max(j for j, other in payloads.items() if other == data)
+        digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        expected.append((k, len(data), digest, "response" if k == first else "revisit", None if k == first else first))
+    found = queries.op3_warc_transactions(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
 def test_warc_least_bytes_and_empty(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id long, url string, html string")
     kinds = {r["metadata"]["fields"]["page_id"]: r["response"]["type"] for r in warc.assemble_written(warc.read_archives(warc.write_archives(pages, 3))).collect()}
@@ -516,6 +629,76 @@ def test_long_repetitive_texts_count_to_their_end():
     assert seen > 5
 
 
+def plain_window_hash(data, at):
+    """Of the seven bytes that end at a place, fewer at the start."""
+    h = sum((data[at - k] + 1) * pow(0x01000193, k, 1 << 32) for k in range(min(7, at + 1))) & 0xFFFFFFFF
+    h ^= h >> 15
+    h = h * 0x85EBCA6B & 0xFFFFFFFF
+    return h ^ h >> 13
+
+
+def plain_piecewise(text):
+    """The fingerprint byte by byte: a letter for each chunk, of the sum of its window hashes."""
+    data = (text or "").encode()
+    hashes = [plain_window_hash(data, k) for k in range(len(data))]
+
+    def letters(block):
+        out, total = "", 0
+        for h in hashes:
+            total += h
+            if h % block == block - 1:
+                out, total = out + ctph._LETTERS[(total * 0x9E3779B97F4A7C15 & _LOW) >> 58], 0
+        return out + (ctph._LETTERS[(total * 0x9E3779B97F4A7C15 & _LOW) >> 58] if total else "")
+
+    block = 4
+    while block * 64 < len(data):
+        block *= 2
+    while block > 4 and len(letters(block)) < 32:
+        block //= 2
+    return f"{block}:{letters(block)}:{letters(2 * block)}"
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    (x, *own), (y, *other) = a.split(":"), b.split(":")
+    best = 0.0
+    for i, s in enumerate(own):
+        for j, t in enumerate(other):
+            if int(x) << i == int(y) << j and (s or t):
+                best = max(best, 1 - plain_distance(s, t) / max(len(s), len(t)))
+    return best
+
+
+def test_fingerprints_equal_brute_force(rows):
+    draw = random.Random(16)
+    texts = [t or "" for _, t, *_ in rows if len(t or "") < 4000] + ["".join(draw.choices("aé \nb", k=n)) for n in (1, 3, 6, 7, 8, 255, 256, 257, 700)] + ["same line\n" * 90]
+    own = [plain_piecewise(t) for t in texts]
+    assert [ctph.fingerprint(t) for t in texts] == own
+    for a, b in draw.sample(list(itertools.combinations(own, 2)), 150):
+        assert ctph.likeness(a, b) == plain_likeness(a, b)
+
+
+def test_piecewise_query_equals_brute_force(spark, tmp_path):
+    draw = random.Random(17)
+    words = [f"w{k}" for k in range(30)]
+    texts = [None, "", "é", "ab", "x" * 700, *(" ".join(draw.choices(words, k=n)) for n in (1, 5, 40, 40, 90))] * 2
+    order = draw.sample(range(100), len(texts))
+    spark.createDataFrame(list(zip(order, texts, strict=True)), "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    by_id = {k: t or "" for k, t in zip(order, texts, strict=True)}
+    ids = sorted(by_id, reverse=True)
+    found = {r["doc_id"]: r for r in queries.op7_piecewise_fingerprints(spark, str(tmp_path)).collect()}
+    assert sorted(found, reverse=True) == ids
+    for k, key in enumerate(ids):
+        text, following = by_id[key], by_id[ids[(k + 1) % len(ids)]]
+        cut = len(text) // 3
+        changed = text[: len(text) - cut] + following[:cut]
+        own, other, next_ = plain_piecewise(text), plain_piecewise(changed), plain_piecewise(following)
+        r = found[key]
+        assert (r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"]) == (len(text), hashlib.sha256(changed.encode()).hexdigest(), own, other)
+        assert (r["near_edited"], r["near_next"]) == (plain_likeness(own, other), plain_likeness(own, next_))
+
+
 def test_neighbours(spark, docs, rows, empty):
     texts = [t or "" for _, t, *_ in rows]
     found = {r["doc_id"]: r for r in ctph.neighbours(docs).collect()}
@@ -559,6 +742,33 @@ def test_token_store_repeated_keys(spark):
     assert token_store.lookup(manifest, spark.createDataFrame([(1,)], "doc_id long")).count() == 2
 
 
+def test_lookup_finds_keys_over_shards(spark):
+    """Keys that fill several shards, gaps, keys outside of all shards, and many ranges."""
+    draw = random.Random(21)
+    keys = [5] * 40 + [draw.randrange(400) * 3 for _ in range(200)] + [None]
+    frame = spark.createDataFrame([(k, f"w{n}") for n, k in enumerate(keys)], "doc_id long, text string")
+    manifest = token_store.write_store(frame, WORD, 1, 12)
+    shards = manifest.collect()
+    assert len(shards) > 8 and sum(s["first_key"] == s["last_key"] == 5 for s in shards) > 0
+    asked = [5, 5, -1, 10**6, 4, *range(0, 1300, 7)]
+    got = sorted(r["doc_id"] for r in token_store.lookup(manifest, spark.createDataFrame([(k,) for k in asked], "doc_id long")).collect())
+    assert got == sorted(k for k in asked for other in keys if k == other)
+    plan = token_store._routed(manifest, spark.createDataFrame([(1,)], "doc_id long"))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_files_are_read_by_as_many_tasks(spark):
+    """The few bytes of a manifest don't end in one task."""
+    frame = spark.createDataFrame([(k, f"text {k}") for k in range(400)], "doc_id long, text string")
+    manifest = token_store.write_store(frame, WORD, 1, 50)
+    used = token_store.read_store(manifest).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used == manifest.count() == 8
+    pages = frame.select(F.col("doc_id").alias("page_id"), F.lit("http://h/").alias("url"), F.col("text").alias("html")).repartition(6)
+    archives = warc.write_archives(pages)
+    n = archives.count()
+    assert n > 1 and warc.read_archives(archives).select(F.spark_partition_id().alias("p")).distinct().count() == n
+
+
 # --- exact copies
 
 
