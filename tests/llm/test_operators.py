@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 import zlib
 
 import duckdb
@@ -557,17 +558,77 @@ def test_licenses_equal_sql(spark, docs, rows):
     assert found == sorted(con.execute(licenses.scan_sql()).fetchall()) and found
 
 
+def plain_units(text):
+    """Lines, and sentences cut by hand: at blank lines and colons at a line's end, and where a mark, white space and a capital follow each other."""
+    yield from (("line", k, t) for k, t in enumerate((text or "").split("\n"), 1))
+    k = 1
+    for block in re.split(r"[\n:][ \t\r]*\n", text or ""):
+        start = 0
+        for m in re.finditer(r"""(?<=[.!?])[ \t\r\n#*/;-]+(?=[A-Z("'\[])""", block):
+            yield "sentence", k, block[start : m.start()]
+            start, k = m.end(), k + 1
+        yield "sentence", k, block[start:]
+        k += 1
+
+
+def plain_scan(texts, threshold=0.8):
+    for doc, text in texts:
+        for unit, place, part in plain_units(text):
+            own = {*licenses.bigrams_of(part)}
+            scores = [(-2 * len(own & {*other}) / (len(own) + len(other)), name) for name, all_ in licenses.TEMPLATES.items() for s in all_ if (other := licenses.bigrams_of(s))]
+            best = min(scores)
+            if own and -best[0] >= threshold:
+                yield doc, unit, place, best[1], -best[0]
+
+
+MIT_TEXT = """MIT License
+
+Copyright (c) 2024 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+GPL_COMMENT = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+import os
+"""
+LICENCE_TEXTS = [
+    MIT_TEXT, GPL_COMMENT, "Copyright 2024 Foo Inc. Released under the MIT License. More prose here.", "Photo by Jane Doe. Licensed under CC BY-NC 4.0.",
+    "// SPDX-License-Identifier: MIT\nint x;", "SPDX-License-Identifier: GPL-2.0-only", "SPDX-License-Identifier: Apache-2.0", "SPDX-License-Identifier: EPL-2.0",
+    "This work is licensed under the GNU Affero\nGeneral Public License, version 3.", "under the MIT License Released", "released UNDER the mit, license!", "Released under MIT License.",
+    "the Apache License, Version 2.0. Licensed under the", "Licensed under CC BY-NC 4.0", "nothing here at all", "", None, "a. B. C! D? (e) f:\n\n\n \n G", "Licensed under the Apache License,\r\nVersion 2.0.\x01 x",
+]
+
+
 def test_license_bounds_are_exact(spark):
-    texts = ["under the MIT License Released", "released UNDER the mit, license!", "Released under MIT License.", "the Apache License, Version 2.0. Licensed under the", "Licensed under CC BY-NC 4.0", "nothing here at all", "", None]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    expected = []
-    for k, t in enumerate(texts):
-        own = licenses.bigrams_of(t or "")
-        scores = [(-2 * len({*own} & {*other}) / (len(own) + len(other)), name) for name, all_ in licenses.TEMPLATES.items() for s in all_ if (other := licenses.bigrams_of(s))]
-        best = min(scores)
-        if own and -best[0] >= 0.8:
-            expected.append((k, 1, best[1], -best[0]))
-    assert sorted(map(tuple, licenses.scan(frame).collect())) == expected
+    texts = list(enumerate(LICENCE_TEXTS))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    found = sorted(map(tuple, licenses.scan(frame).collect()))
+    assert found == sorted(plain_scan([(k, t) for k, t in texts if k != len(texts) - 1])) + [r for r in found if r[0] == len(texts) - 1]
+    names = {k: {r[3] for r in found if r[0] == k} for k, _ in texts}
+    assert [names[k] for k in range(9)] == [{"MIT"}, {"GPL-3.0"}, {"MIT"}, {"CC-BY-NC-4.0"}, {"MIT"}, {"GPL-2.0"}, {"Apache-2.0"}, set(), {"AGPL-3.0"}]
+    assert names[len(texts) - 1] == {"Apache-2.0"}
+    con = duckdb.connect()
+    con.register("documents", frame.toPandas())
+    assert found == sorted(con.execute(licenses.scan_sql()).fetchall())
+
+
+def test_license_scan_stays_in_the_jvm(spark, docs, empty):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = licenses.scan(documents)._jdf.queryExecution().executedPlan().toString()
+    assert not [n for n in ("Python", "Arrow", "Pandas", "Exchange") if n in plan]
+    assert licenses.scan(empty).count() == 0 and licenses.scan(repeated(spark)).count() == 0
+    twice = spark.createDataFrame([(None, "Released under the MIT License.")] * 2, "doc_id long, text string")
+    assert licenses.scan(twice).count() == 4
 
 
 # --- byte-level BPE
