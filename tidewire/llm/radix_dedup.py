@@ -78,4 +78,4 @@ def keep_largest(docs: DataFrame) -> DataFrame:
     id_ = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col(number).alias("row"))
     found = _grouped(rows.select(id_.alias("id"), normalised().alias("text")), [])
     dropped = found.filter(F.col("id")["row"] != F.col("keep_id")["row"]).select(F.col("id")["row"].alias(number))
-    return rows.join(dropped, number, "left_anti").select(own_columns(docs))
+    return rows.join(written(dropped, "equal-rows"), number, "left_anti").select(own_columns(docs))

@@ -331,7 +331,8 @@ def exact_links(texts: DataFrame, members: DataFrame, words: int, lanes: int, ra
     """(a, b): links between the classes ``members`` (fp, root, row) of one component whose shingles overlap by
     ``similarity``; ``texts`` (row, text) has the text of each class. A tile has so many rows and, on average, at most so
     many bytes of shingles."""
-    texts = texts.join(members.select("row", "fp", F.xxhash64("root").alias("key")), "row").select("key", "fp", "text")
+    members = written(members.select("row", "fp", F.xxhash64("root").alias("key")), "near-members")  # narrow, and often small
+    texts = texts.join(members, "row").select("key", "fp", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -468,4 +469,5 @@ def one_of_each_group(
     grouped = near_components(written(classes, "classes"), links, check)
     near = written(grouped.filter((F.col("component_id") != F.col("class_id")) | (F.col("class_size") > 1)).select("fp", F.col("component_id.row").alias("kept"), F.col("class_size").alias("n")), "near-classes")
     told = with_sums(found.select("fp", F.col("id.row").alias("row")), near, "fp").filter("kept is not null and row <> kept")
-    return rows.join(told.select(F.col("row").alias(number)), number, "left_anti").select(own_columns(docs))
+    dropped = written(told.select(F.col("row").alias(number)), "near-rows")
+    return rows.join(dropped, number, "left_anti").select(own_columns(docs))
