@@ -165,6 +165,13 @@ def test_committed_prefix_equals_the_rules(spark, seed):
             expected += [(t, p) for t, p, *_ in model.add(pos, f"0/{pos:X}", xid, csn, kind, str(pos))]
         found = tx.committed_prefix(log_frame(spark, log), snapshot, last).orderBy("txn", "pos").select("txn", "pos").collect()
         assert [tuple(r) for r in found] == expected
+        done = tx.watermark(log_frame(spark, log), last).first()
+        assert (done["lsn"] if done else last) == model.last_lsn
+
+
+def test_windows_go_over_markers_alone(spark):
+    plan = tx.committed_prefix(log_frame(spark, random_log(random.Random(1))))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
 
 
 def test_interleaved_transactions():

@@ -5,9 +5,12 @@ BEGIN and closed by the COMMIT of its xid; an xid may be used again after that.
 of their BEGINs, and one that is still open holds back all that began after it. A data record whose xid has
 no open transaction is a committed transaction of its own.
 
-Everything is partitioned by slot: the order within a slot is total by its nature, so a slot is the unit of
-parallel work, and decoding, casting and filtering before it and formatting after it run over all rows at once. Only
-BEGIN rows go through the ordered prefix; data rows are joined to their transaction by (slot, xid, number).
+The order of a log is that of ``pos``, or of (pos, k) where records have a place ``k`` within a batch; ``txn`` is such a place.
+
+Windows go over BEGIN and COMMIT rows alone: they give a span for each transaction, a narrow table that is written
+once. Data rows find their span by slot, xid and place, in a join between a written table and the log, so a bulk
+load in one transaction can be split over tasks. What is released needs no order at all: all that began before the first
+transaction of its slot that is open.
 """
 
 from __future__ import annotations
@@ -16,48 +19,60 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lsn import lsn_number
+from ..plans.stage import join_small, written
 
 DATA = ("INSERT", "UPDATE", "DELETE")
-NEVER = 9_000_000_000_000_000_000
 
 
 def is_data(type_: str = "type") -> Column:
     return F.col(type_).isin(*DATA)
 
 
-def with_transactions(changes: DataFrame) -> DataFrame:
-    """``changes`` with ``txn``, the position at which its transaction began, and ``own`` for one without a BEGIN.
+def place(changes: DataFrame) -> Column:
+    """Where a record stands in its slot's log."""
+    return F.struct("pos", "k") if "k" in changes.columns else F.col("pos")
+
+
+def spans(changes: DataFrame) -> DataFrame:
+    """(slot, xid, txn, commit_pos, commit_lsn, commit_csn): a row for each transaction with a BEGIN; null commits are open.
 
-    Within (slot, xid) a BEGIN opens a transaction unless one is open; a COMMIT closes it.
+    Within (slot, xid) a BEGIN opens a transaction unless one is open; the next COMMIT closes it.
     """
-    by_xid = Window.partitionBy("slot", "xid").orderBy("pos")
-    marker = F.when(F.col("type").isin("BEGIN", "COMMIT"), F.col("type"))
-    before = F.last(marker, ignorenulls=True).over(by_xid.rowsBetween(Window.unboundedPreceding, -1))
-    opens = (F.col("type") == "BEGIN") & (F.coalesce(before, F.lit("COMMIT")) == "COMMIT")
-    rows = changes.withColumn("_before", before).withColumn("_opened", F.when(opens, F.col("pos")))
-    rows = rows.withColumn("_begin", F.last("_opened", ignorenulls=True).over(by_xid.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = (F.col("type") == "BEGIN") | (F.coalesce("_before", F.lit("COMMIT")) == "BEGIN")
-    own = is_data() & ~inside
-    return rows.withColumn("txn", F.when(inside, F.col("_begin")).when(own, F.col("pos"))).withColumn("own", own).drop("_before", "_opened", "_begin")
+    by_xid = Window.partitionBy("slot", "xid").orderBy("at")
+    markers = changes.filter(F.col("type").isin("BEGIN", "COMMIT")).select("slot", "xid", place(changes).alias("at"), "type", "lsn", "csn")
+    turns = markers.withColumn("_last", F.lag("type", 1, "COMMIT").over(by_xid)).filter("type <> _last")
+    ended = F.lead(F.struct("at", "lsn", "csn")).over(by_xid)
+    found = turns.withColumn("_end", ended).filter("type = 'BEGIN'")
+    return found.select("slot", "xid", F.col("at").alias("txn"), *(F.col(f"_end.{a}").alias(b) for a, b in (("at", "commit_pos"), ("lsn", "commit_lsn"), ("csn", "commit_csn"))))
+
+
+def _placed(changes: DataFrame, found: DataFrame) -> DataFrame:
+    """Data records with the span of their transaction, or with one of their own."""
+    data = changes.filter(is_data()).withColumn("_at", place(changes))
+    found = found.withColumnRenamed("xid", "_xid").withColumnRenamed("slot", "_slot")
+    within = (data["slot"] == found["_slot"]) & data["xid"].eqNullSafe(found["_xid"]) & (data["_at"] > found["txn"]) & (found["commit_pos"].isNull() | (data["_at"] < found["commit_pos"]))
+    rows = data.join(found, within, "left")
+    own = F.col("txn").isNull()
+    return rows.select(
+        *changes.columns, F.coalesce("txn", "_at").alias("txn"), F.when(own, F.col("_at")).otherwise(F.col("commit_pos")).alias("commit_pos"),
+        F.when(own, F.col("lsn")).otherwise(F.col("commit_lsn")).alias("commit_lsn"), F.when(own, F.lit(0).cast("long")).otherwise(F.col("commit_csn")).alias("commit_csn"), own.alias("own"),
+    )
 
 
 def transactions(changes: DataFrame) -> DataFrame:
     """(slot, txn, xid, commit_pos, commit_lsn, commit_csn, n_changes): a row for each transaction; null commits are open."""
-    rows = with_transactions(changes).filter("txn is not null")
-    closes = (F.col("type") == "COMMIT") | F.col("own")
-    return rows.groupBy("slot", "txn").agg(
-        F.first("xid").alias("xid"),
-        F.min(F.when(closes, F.col("pos"))).alias("commit_pos"),
-        F.min_by(F.when(closes, F.col("lsn")), F.when(closes, F.col("pos"))).alias("commit_lsn"),
-        F.min_by(F.when(closes, F.when(F.col("own"), F.lit(0)).otherwise(F.col("csn"))), F.when(closes, F.col("pos"))).alias("commit_csn"),
-        F.count(F.when(is_data(), 1)).alias("n_changes"),
-    )
+    found = written(spans(changes), "spans")
+    placed = _placed(changes, found)
+    counts = placed.filter("not own").groupBy("slot", "txn").agg(F.count("*").alias("n_changes"))
+    closed = ["commit_pos", "commit_lsn", "commit_csn"]
+    out = found.join(counts, ["slot", "txn"], "left").select("slot", "txn", "xid", *closed, F.coalesce("n_changes", F.lit(0)).alias("n_changes"))
+    return out.unionByName(placed.filter("own").select("slot", "txn", "xid", *closed, F.lit(1).cast("long").alias("n_changes")))
 
 
-def released(found: DataFrame) -> DataFrame:
-    """The transactions of ``found`` that nothing before them holds back."""
-    order = Window.partitionBy("slot").orderBy("txn").rowsBetween(Window.unboundedPreceding, 0)
-    return found.withColumn("_until", F.max(F.coalesce("commit_pos", F.lit(NEVER))).over(order)).filter(F.col("_until") < NEVER).drop("_until")
+def released(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The ``rows`` (slot, txn) that no open transaction of ``found`` holds back."""
+    first = written(found.filter("commit_pos is null").groupBy("slot").agg(F.min("txn").alias("_open")), "open-transactions")
+    return join_small(rows, first, ["slot"]).filter(F.col("_open").isNull() | (F.col("txn") < F.col("_open"))).drop("_open")
 
 
 def overlaps_snapshot(csn: Column, snapshot_csn: int) -> Column:
@@ -76,16 +91,30 @@ def replayed(commit_lsn: Column, last_lsn: str | None) -> Column:
 def committed_prefix(changes: DataFrame, snapshot_csn: int = -1, last_lsn: str | None = None) -> DataFrame:
     """The data records of all released transactions that neither the snapshot nor an earlier run has, with ``txn``,
     ``commit_lsn`` and ``commit_csn``. Their order is (slot, txn, pos)."""
-    done = released(transactions(changes)).filter(~overlaps_snapshot(F.col("commit_csn"), snapshot_csn) & ~replayed(F.col("commit_lsn"), last_lsn))
-    data = with_transactions(changes).filter(is_data())
-    return data.drop("own").join(done.select("slot", "txn", "commit_lsn", "commit_csn"), ["slot", "txn"])
+    found = written(spans(changes), "spans")
+    done = released(_placed(changes, found).filter("commit_pos is not null"), found)
+    done = done.filter(~overlaps_snapshot(F.col("commit_csn"), snapshot_csn) & ~replayed(F.col("commit_lsn"), last_lsn))
+    return done.drop("commit_pos", "own")
 
 
 def watermark(changes: DataFrame, last_lsn: str | None = None) -> DataFrame:
     """(slot, lsn): up to where each slot is done, the largest commit position of its released transactions, of dropped
-    ones too; it never goes back behind ``last_lsn``."""
-    number = lsn_number(F.col("commit_lsn"))
-    best = released(transactions(changes)).groupBy("slot").agg(F.max(number).alias("n"), F.max_by("commit_lsn", number).alias("lsn"))
+    ones too; it never goes back behind ``last_lsn``. A COMMIT without a transaction counts if nothing that began before
+    it was open at that place."""
+    found = written(spans(changes), "spans")
+    lone = _placed(changes, found).filter("own").select("slot", "txn", "commit_lsn")
+    closed = found.select("slot", F.col("txn").alias("at"), F.col("commit_pos").alias("until"), F.col("commit_pos").isNull().alias("open"), F.lit(None).cast("string").alias("lsn"))
+    by_xid = Window.partitionBy("slot", "xid").orderBy("at")
+    markers = changes.filter(F.col("type").isin("BEGIN", "COMMIT")).select("slot", "xid", place(changes).alias("at"), "type", "lsn")
+    stray = markers.withColumn("_last", F.lag("type", 1, "COMMIT").over(by_xid)).filter("type = 'COMMIT' and _last = 'COMMIT'")
+    stray = stray.select("slot", "at", F.lit(None).cast(closed.schema["until"].dataType).alias("until"), F.lit(False).alias("open"), "lsn")
+    upto = Window.partitionBy("slot").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)  # BEGINs and stray COMMITs alone
+    seen = closed.unionByName(stray).withColumn("_until", F.max("until").over(upto)).withColumn("_open", F.max("open").over(upto))
+    clear = seen.filter("lsn is not null and not _open").filter(F.col("_until").isNull() | (F.col("_until") < F.col("at")))
+    ended = released(found.filter("commit_pos is not null").select("slot", "txn", "commit_lsn").unionByName(lone), found)
+    all_ = ended.select("slot", F.col("commit_lsn").alias("lsn")).unionByName(clear.select("slot", "lsn"))
+    number = lsn_number(F.col("lsn"))
+    best = all_.groupBy("slot").agg(F.max(number).alias("n"), F.max_by("lsn", number).alias("lsn"))
     if last_lsn is None:
         return best.select("slot", "lsn")
     return best.select("slot", F.when(F.col("n") > lsn_number(F.lit(last_lsn)), F.col("lsn")).otherwise(F.lit(last_lsn)).alias("lsn"))

@@ -88,3 +88,14 @@ def with_sums(rows: DataFrame, sums: DataFrame, key: str, n: str = "n", hot_rows
     told = lambda side: [F.col(side)[c].alias(c) for c in others]
     spread = marked.filter("_hot_key is not null").select(*rows.columns, *told("_hot"))
     return plain.select(*rows.columns, *told("_rest")).unionByName(spread)
+
+
+#: Rows up to which a table that stays small by its nature is broadcast.
+SMALL_ROWS = 100_000
+
+
+def join_small(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """``rows`` joined with a written table that has a row for each slot, range or the like: by broadcast up to so many
+    rows, else by shuffle."""
+    small = F.broadcast(small) if small.count() <= SMALL_ROWS else small
+    return rows.join(small, keys, how)
