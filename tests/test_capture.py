@@ -137,6 +137,37 @@ def test_binary_faults():
     assert binary.WalChange("BEGIN", (1 << 32) + 255).lsn == "1/FF"
 
 
+def test_transactions_over_binary_batches(spark):
+    """Transactions that begin, go on and end in different batches, at any place of the log."""
+    draw, changes, expected, at = random.Random(5), [], [], 2**63 + 5
+    for _ in range(40):
+        begin, csn = at, draw.randrange(1, 99)
+        changes.append(binary.WalChange("BEGIN", at, csn=csn))
+        for _ in range(draw.randrange(5)):
+            at += 1
+            changes.append(binary.WalChange("INSERT", at, schema="s", table="t", after=[("a", 20, str(at))]))
+            expected.append((at, csn, begin))
+        at += 1
+        changes.append(binary.WalChange("COMMIT", at, xid=1))
+        at += 1
+    batches = []
+    while changes:
+        n = draw.choice([1, 1, 2, 3, 9])
+        batches.append(("main", 10**13 + len(batches), bytearray(binary.encode_batch(changes[:n]))))
+        changes = changes[n:]
+    log = spark.createDataFrame(batches, "slot string, pos long, data binary").repartition(4)
+    found = tx.committed_prefix(binary.number_transactions(binary.decode_binary(log)))
+    rows = found.select(envelopes.value_of(F.col("after"), "a").alias("a"), "commit_csn", "xid").collect()
+    assert sorted((int(r[0]), r[1], r[2] % 2**64) for r in rows) == expected
+
+
+def test_large_batches_keep_their_order(spark):
+    text = "".join(json.dumps({"op_type": "INSERT", "n": k}) for k in range(1500))
+    log = spark.createDataFrame([("main", 1, text), ("main", 2, text), ("main", 3, "BEGIN 1"), ("main", 4, None)], "slot string, pos long, data string")
+    rows = records.split_batches(log)
+    assert rows.count() == rows.select("pos", "k").distinct().count() == 3002
+
+
 # --- transactions
 
 

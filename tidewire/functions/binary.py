@@ -12,11 +12,17 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from decimal import Decimal
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.stage import written
+from .lsn import lsn_number
+from .records import COLUMN
+
 Value = tuple[str, int, str | None]
 _NULL = 0xFFFFFFFF
 # Record types.
@@ -45,94 +51,99 @@ class WalChange:
         return f"{self.position >> 32:X}/{self.position & 0xFFFFFFFF:X}"
 
 
-class _Reader:
-    def __init__(self, data: bytes):
-        self.data, self.at = data, 0
+_HEAD, _TUPLE, _BEGIN, _LONG, _INT, _SHORT = (struct.Struct(f) for f in (">QB", ">II", ">QQ", ">Q", ">I", ">H"))
+
+
+def _some(data: bytes, at: int, n: int) -> bytes:
+    if at + n > len(data):
+        raise DecodeError(f"{n} bytes wanted, {len(data) - at} left")
+    return data[at : at + n]
 
-    def left(self) -> int:
-        return len(self.data) - self.at
 
-    def take(self, n: int) -> bytes:
-        if n > self.left():
-            raise DecodeError(f"{n} bytes wanted, {self.left()} left")
-        self.at += n
-        return self.data[self.at - n : self.at]
+def _name(data: bytes, at: int) -> tuple[str, int]:
+    """A text with a length of 16 bits, and where it ends."""
+    n = _SHORT.unpack_from(data, at)[0]
+    return _some(data, at + 2, n).decode("utf-8"), at + 2 + n
 
-    def number(self, size: int) -> int:
-        return int.from_bytes(self.take(size), "big")
 
-    def text(self, size: int) -> str:
-        return self.take(self.number(size)).decode("utf-8")
+def _tuple(data: bytes, at: int) -> tuple[list[Value], int]:
+    n, out = _SHORT.unpack_from(data, at)[0], []
+    at += 2
+    for _ in range(n):
+        name, at = _name(data, at)
+        kind, size = _TUPLE.unpack_from(data, at)
+        at += 8
+        if size == _NULL:
+            out.append((name, kind, None))
+        else:
+            out.append((name, kind, _some(data, at, size).decode("utf-8")))
+            at += size
+    return out, at
 
-    def marked(self, letter: bytes) -> bool:
-        """Whether the next byte is ``letter``; it is taken if so."""
-        found = self.data[self.at : self.at + 1] == letter
-        self.at += found
-        return found
 
-    def row(self) -> list[Value]:
-        out: list[Value] = []
-        for _ in range(self.number(2)):
-            name, kind, size = self.text(2), self.number(4), self.number(4)
-            out.append((name, kind, None if size == _NULL else self.take(size).decode("utf-8")))
-        return out
+def _after_long_text(data: bytes, at: int, letter: bytes) -> int:
+    """Behind an optional text that ``letter`` marks."""
+    if data[at : at + 1] != letter:
+        return at
+    n = _INT.unpack_from(data, at + 1)[0]
+    _some(data, at + 5, n)
+    return at + 5 + n
 
 
-def _body(kind: str, position: int, body: _Reader) -> WalChange:
-    change = WalChange(kind, position)
+def _body(kind: str, position: int, data: bytes) -> tuple[WalChange, int]:
+    """A record from its bytes, the position and the type letter before it included, and where it ends."""
+    change, at = WalChange(kind, position), _HEAD.size
     if kind == "BEGIN":
-        change.csn = body.number(8)
-        body.number(8)
-        for letter in (b"T", b"N"):
-            if body.marked(letter):
-                body.take(body.number(4))
+        change.csn = _BEGIN.unpack_from(data, at)[0]
+        at = _after_long_text(data, _after_long_text(data, at + 16, b"T"), b"N")
     elif kind == "COMMIT":
-        if body.marked(b"X"):
-            change.xid = body.number(8)
-        if body.marked(b"T"):
-            body.take(body.number(4))
+        if data[at : at + 1] == b"X":
+            change.xid = _LONG.unpack_from(data, at + 1)[0]
+            at += 9
+        at = _after_long_text(data, at, b"T")
     else:
-        change.schema, change.table = body.text(2), body.text(2)
-        while body.left() > 1:
-            if body.marked(b"O"):
-                change.before = body.row()
-            elif body.marked(b"N") or kind != "DELETE":
-                change.after = body.row()
+        change.schema, at = _name(data, at)
+        change.table, at = _name(data, at)
+        while len(data) - at > 1:
+            mark = data[at : at + 1]
+            row, at = _tuple(data, at + (mark in (b"O", b"N")))
+            if mark == b"O" or mark != b"N" and kind == "DELETE":
+                change.before = row
             else:
-                change.before = body.row()
+                change.after = row
         if kind == "DELETE" and change.before is None:
             change.before, change.after = change.after, None
-    return change
+    return change, at
 
 
 def decode_batch(data: bytes) -> list[WalChange]:
     """The records of a batch. One that can't be read is UNKNOWN, with ``error``; the next one starts behind its size."""
-    reader, out = _Reader(data), []
-    while reader.left() >= 4:
-        size = reader.number(4)
+    at, out = 0, []
+    while len(data) - at >= 4:
+        size = _INT.unpack_from(data, at)[0]
+        at += 4
         if size == 0:
             break
-        if size > reader.left() or size < 9:
-            out.append(WalChange("UNKNOWN", 0, error=f"size {size}, {reader.left()} bytes left"))
+        if size > len(data) - at or size < 9:
+            out.append(WalChange("UNKNOWN", 0, error=f"size {size}, {len(data) - at} bytes left"))
             break
-        record = _Reader(reader.take(size))
-        position, letter = record.number(8), chr(record.number(1))
-        body, last = _Reader(record.data[9:]), False
-        if letter in _TYPES:
+        record = data[at : at + size]
+        at += size
+        position, letter = _HEAD.unpack_from(record)
+        end = b""
+        if chr(letter) in _TYPES:
             try:
-                out.append(_body(_TYPES[letter], position, body))
-            except (DecodeError, UnicodeDecodeError) as error:
-                out.append(WalChange("UNKNOWN", position, error=str(error)))
-        else:
-            out.append(WalChange("UNKNOWN", position, error=f"type {letter!r}"))
-        end = body.data[body.at :] if out[-1].error is None else b""
-        if end in (b"P", b"F"):
-            last = end == b"F"
-        elif reader.marked(b"F"):
-            last = True
+                change, stop = _body(_TYPES[chr(letter)], position, record)
+                end = record[stop:]
+            except (DecodeError, UnicodeDecodeError, struct.error) as error:
+                change = WalChange("UNKNOWN", position, error=str(error))
         else:
-            reader.marked(b"P")
-        if last:
+            change = WalChange("UNKNOWN", position, error=f"type {chr(letter)!r}")
+        out.append(change)
+        if end not in (b"P", b"F"):
+            end = data[at : at + 1]
+            at += end in (b"P", b"F")
+        if end == b"F":
             break
     return out
 
@@ -166,51 +177,72 @@ def encode_batch(changes: list[WalChange], separator_inside: bool = False) -> by
     return out
 
 
-_ARROW_VALUE = pa.list_(pa.struct([("name", pa.string()), ("type_oid", pa.int32()), ("value", pa.string())]))
-_ARROW = pa.schema([
-    ("slot", pa.string()), ("pos", pa.int64()), ("lsn", pa.string()), ("xid", pa.int64()), ("csn", pa.int64()), ("type", pa.string()),
-    ("schema", pa.string()), ("table", pa.string()), ("before", _ARROW_VALUE), ("after", _ARROW_VALUE), ("raw", pa.string()),
-])
+_ARROW_VALUE = pa.struct([("name", pa.string()), ("type_oid", pa.int32()), ("value", pa.string())])
+_ARROW = {"pos": pa.int64(), "k": pa.int32(), "lsn": pa.string(), "xid": pa.int64(), "csn": pa.int64(), "type": pa.string(), "schema": pa.string(), "table": pa.string(), "raw": pa.string()}
+DECODED = f"slot string, pos long, k int, lsn string, xid long, csn long, type string, schema string, `table` string, before array<{COLUMN}>, after array<{COLUMN}>, raw string"
+
+
+def _signed(n: int) -> int:
+    return n - (1 << 64) if n >> 63 else n
+
+
+def _images(rows: list[list[Value] | None]) -> pa.Array:
+    flat = [v for row in rows if row for v in row]
+    ends = np.cumsum([0, *(len(row or ()) for row in rows)])
+    fields = [pa.array([v[i] for v in flat], f.type) for i, f in enumerate(_ARROW_VALUE)]
+    offsets = pa.array(ends.astype(np.int32), mask=np.array([*(row is None for row in rows), False]))
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, fields=list(_ARROW_VALUE)))
 
 
 def decode_binary(log: DataFrame) -> DataFrame:
-    """Binary batches (slot, pos, data) as changes. Batches are decoded where they lie, in parallel; the k-th record of a
-    batch has the position 1000000 x pos + k in the order of the log. ``raw`` says why a record is UNKNOWN.
+    """Binary batches (slot, pos, data) as changes. Batches are decoded where they lie, in parallel; ``k`` is a record's
+    place in its batch, so (pos, k) is its place in the log. ``raw`` says why a record is UNKNOWN.
 
-    Records carry no transaction number but in COMMIT, and transactions lie one after the other, so the xid of all
-    records of a transaction is the one its COMMIT names; ``number_transactions`` fills it in.
+    Records carry no transaction number but in COMMIT, and transactions lie one after the other. Here the xid of a record is
+    the position of its transaction's BEGIN, and a COMMIT has the csn of that BEGIN; a record outside of any
+    transaction has its own position. What stands in a batch before its first BEGIN or COMMIT has a null xid: the batches
+    before tell whose it is, see ``number_transactions``.
     """
 
-    def rows(values: list[Value] | None) -> list[dict] | None:
-        return None if values is None else [{"name": n, "type_oid": k, "value": v} for n, k, v in values]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for slot, pos, data in zip(*(batch.column(n).to_pylist() for n in ("slot", "pos", "data")), strict=True):
-                for k, c in enumerate(decode_batch(data or b"")):
-                    out.append({
-                        "slot": slot, "pos": pos * 1_000_000 + k, "lsn": c.lsn, "xid": c.xid, "csn": c.csn, "type": c.type, "schema": c.schema,
-                        "table": c.table, "before": rows(c.before), "after": rows(c.after), "raw": c.error,
-                    })
-            yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
-
-    from .records import WAL_CHANGE
-
-    return log.select("slot", F.col("pos").cast("long").alias("pos"), F.col("data").cast("binary").alias("data")).mapInArrow(run, WAL_CHANGE)
+            at, before, after, out = [], [], [], {name: [] for name in _ARROW}
+            for row, (pos, data) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2), strict=True)):
+                told, opened, csn = False, None, None
+                for k, c in enumerate(decode_batch(data.as_py() or b"")):
+                    own = _signed(c.position)
+                    if c.type == "BEGIN":
+                        told, opened, csn = True, own, c.csn
+                    xid = opened if opened is not None else own if told else None
+                    commit_csn = csn if opened is not None or not told else 0
+                    at.append(row)
+                    values = (pos, k, c.lsn, xid, _signed(commit_csn if c.type == "COMMIT" and commit_csn is not None else c.csn), c.type, c.schema, c.table, c.error)
+                    for name, value in zip(_ARROW, values, strict=True):
+                        out[name].append(value)
+                    before.append(c.before)
+                    after.append(c.after)
+                    if c.type == "COMMIT":
+                        told, opened = True, None
+            cols = {name: pa.array(out[name], kind) for name, kind in _ARROW.items()} | {"slot": batch.column(0).take(pa.array(at, pa.int64())), "before": _images(before), "after": _images(after)}
+            names = ["slot", "pos", "k", "lsn", "xid", "csn", "type", "schema", "table", "before", "after", "raw"]
+            yield pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
+
+    return log.select("slot", F.col("pos").cast("long").alias("pos"), F.col("data").cast("binary").alias("data")).mapInArrow(run, DECODED)
 
 
 def number_transactions(changes: DataFrame) -> DataFrame:
-    """Binary changes with the xid of their transaction: a number of its BEGIN, or of the record itself outside of one.
-    The csn of a COMMIT is that of its BEGIN."""
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("slot").orderBy("pos")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    ended = F.last(F.when(F.col("type") == "COMMIT", F.col("pos")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    begun = F.last(F.when(F.col("type") == "BEGIN", F.struct("pos", "csn")), ignorenulls=True).over(upto)
-    rows = changes.withColumn("_ended", ended).withColumn("_begun", begun)
-    inside = F.col("_begun").isNotNull() & (F.col("_ended").isNull() | (F.col("_begun")["pos"] > F.col("_ended")))
-    csn = F.when((F.col("type") == "COMMIT") & inside, F.col("_begun")["csn"]).otherwise(F.col("csn"))
-    xid = F.when(inside, F.col("_begun")["pos"]).otherwise(F.col("pos"))
-    return rows.withColumn("xid", xid).withColumn("csn", csn).drop("_ended", "_begun")
+    """Binary changes with the xid of every record's transaction. They are written once; a window goes over a row for each
+    batch that has a BEGIN or COMMIT, or begins inside a transaction, and tells what the batches before it left open."""
+    rows = written(changes, "decoded")
+    markers = rows.filter(F.col("type").isin("BEGIN", "COMMIT"))
+    ends = markers.groupBy("slot", "pos").agg(F.max_by(F.struct("type", "xid", "csn"), "k").alias("end")).withColumn("asks", F.lit(False))
+    asks = rows.filter("xid is null").select("slot", "pos").distinct().select("slot", "pos", F.lit(None).cast(ends.schema["end"].dataType).alias("end"), F.lit(True).alias("asks"))
+    order = Window.partitionBy("slot").orderBy("pos", F.desc("asks")).rowsBetween(Window.unboundedPreceding, -1)
+    told = ends.unionByName(asks).withColumn("_left", F.last("end", ignorenulls=True).over(order)).filter("asks and _left.type = 'BEGIN'")
+    told = told.select("slot", "pos", F.col("_left.xid").alias("_xid"), F.col("_left.csn").alias("_csn"))
+    asking = rows.filter("xid is null").join(told, ["slot", "pos"], "left")
+    position = lsn_number(F.col("lsn"))
+    own = F.when(position >= F.lit(Decimal(1 << 63)), position - F.lit(Decimal(1 << 64))).otherwise(position).cast("long")
+    csn = F.when((F.col("type") == "COMMIT") & F.col("_csn").isNotNull(), F.col("_csn")).otherwise(F.col("csn"))
+    filled = asking.withColumn("xid", F.coalesce("_xid", own)).withColumn("csn", csn).select(rows.columns)
+    return rows.filter("xid is not null").unionByName(filled)

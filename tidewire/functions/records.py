@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -55,7 +56,7 @@ def zipped(names: Column, types: Column, values: Column) -> Column:
 
 
 def parse_records(log: DataFrame, data: str = "data") -> DataFrame:
-    """A log (slot, pos, lsn, xid, data) as changes. Fields that a record does not have are null.
+    """A log (slot, pos, lsn, xid, data, and ``k`` where batches were split) as changes. Fields that a record does not have are null.
 
     A JSON object that is no record, and anything else that is none, has the type UNKNOWN and is kept with its text.
     """
@@ -67,7 +68,7 @@ def parse_records(log: DataFrame, data: str = "data") -> DataFrame:
     new = zipped(F.col("_json.columns_name"), F.col("_json.columns_type"), F.col("_json.columns_val"))
     old = zipped(F.col("_json.old_keys_name"), F.col("_json.old_keys_type"), F.col("_json.old_keys_val"))
     return rows.select(
-        "slot", "pos", "lsn", "xid",
+        "slot", "pos", *(["k"] if "k" in log.columns else []), "lsn", "xid",
         F.when(F.col("_type") == "COMMIT", commit_csn(raw)).otherwise(F.lit(0).cast("long")).alias("csn"),
         F.col("_type").alias("type"),
         name["schema"].alias("schema"), name["table"].alias("table"),
@@ -77,24 +78,29 @@ def parse_records(log: DataFrame, data: str = "data") -> DataFrame:
     )
 
 
+#: What counts within an object: a string, up to the text's end if nothing closes it, or a brace.
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*(?:"|\Z)|[{}]', re.DOTALL)
+
+
 def split_objects(text: str) -> Iterator[str]:
     """The whole JSON objects of a batch, one after the other, whatever stands between them; an unclosed one ends it."""
-    start, depth, quoted, escaped = -1, 0, False, False
-    for at, c in enumerate(text):
-        if quoted:
-            escaped, quoted = c == "\\" and not escaped, quoted if escaped or c != '"' else False
-        elif c == '"':
-            quoted = depth > 0
-        elif c == "{":
-            start, depth = (at if depth == 0 else start), depth + 1
-        elif c == "}" and depth:
-            depth -= 1
+    start = text.find("{")
+    while start >= 0:
+        depth, end = 0, -1
+        for token in _TOKEN.finditer(text, start):
+            c = text[token.start()]
+            depth += (c == "{") - (c == "}")
             if depth == 0:
-                yield text[start : at + 1]
+                end = token.end()
+                break
+        if end < 0:
+            return
+        yield text[start:end]
+        start = text.find("{", end)
 
 
 def split_batches(log: DataFrame, data: str = "data") -> DataFrame:
-    """One row for each JSON object of each batch; ``pos`` counts on within a batch, in steps of one over 1000 x pos.
+    """One row for each JSON object of each batch; ``k`` is its place in the batch, so (pos, k) is its place in the log.
 
     Batches that hold no object stay as they are, so that markers pass through.
     """
@@ -103,18 +109,17 @@ def split_batches(log: DataFrame, data: str = "data") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, objects, places = [], [], []
-            texts, positions = batch.column("data").to_pylist(), batch.column("pos").to_pylist()
-            for row, (text, pos) in enumerate(zip(texts, positions, strict=True)):
+            for row, text in enumerate(batch.column("data").to_pylist()):
                 for k, one in enumerate(list(split_objects(text or "")) or [text]):
                     at.append(row)
                     objects.append(one)
-                    places.append(pos * 1000 + k)
-            kept = batch.select(others).take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(places, pa.int64()), pa.array(objects, pa.string())], names=[*others, "pos", "data"])
+                    places.append(k)
+            kept = batch.select([*others, "pos"]).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(places, pa.int32()), pa.array(objects, pa.string())], names=[*others, "pos", "k", "data"])
 
     rows = log.select(*others, F.col("pos").cast("long"), F.col(data).alias("data"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in others)
-    return rows.mapInArrow(run, f"{fields}, pos long, data string" if fields else "pos long, data string")
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name in others)
+    return rows.mapInArrow(run, f"{fields}pos long, k int, data string")
 
 
 def json_record(table: str, op: str, new: list[tuple[str, str, str | None]], old: list[tuple[str, str, str | None]] = ()) -> str:

@@ -17,7 +17,7 @@ from .functions import types as kinds
 from .functions.dialect import POSTGRES_FAMILY, Dialect
 from .operators import changelog as cl
 from .operators import transactions as tx
-from .plans import snapshots
+from .plans import snapshots, stage
 from .sources import catalog
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,8 +49,9 @@ def epoch_ms(c: str) -> Column:
 
 _WAL = """
 with e as (select event_id, user_id pk, event_type, cast(floor(event_id/16) as bigint) blk, event_id%4 lane from {events}),
-k as (select *, blk*4+lane xid, max(blk) over () mb, row_number() over (partition by pk order by event_id) rn from e),
-d as (select event_id*10 pos, xid, case when rn=1 then 'INSERT' when event_type='error' and event_id%7=0 then 'DELETE' else 'UPDATE' end type, pk, event_type kind, cast(0 as bigint) csn from k),
+f as (select user_id pk, min(event_id) first_id from {events} group by user_id),
+k as (select e.*, e.blk*4+e.lane xid, (select max(blk) from e) mb, f.first_id from e join f on f.pk = e.pk),
+d as (select event_id*10 pos, xid, case when event_id=first_id then 'INSERT' when event_type='error' and event_id%7=0 then 'DELETE' else 'UPDATE' end type, pk, event_type kind, cast(0 as bigint) csn from k),
 b as (select min(event_id)*10-5 pos, xid, 'BEGIN' type, cast(null as bigint) pk, cast(null as varchar(20)) kind, cast(0 as bigint) csn from k group by xid),
 c as (select blk*160+151+(3-lane) pos, xid, 'COMMIT' type, cast(null as bigint) pk, cast(null as varchar(20)) kind, blk*4+(3-lane)+1 csn from k where not (blk>=mb-3 and lane=2) group by blk,lane,xid),
 wal as (select * from d union all select * from b union all select * from c)
@@ -67,6 +68,22 @@ p as (select d.*, done.bp, done.cp, done.cc from d join done using (xid))
 )
 
 
+_LOGS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _once(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A derived log is written once in a session; the queries read it as they would read one that a server wrote."""
+
+    def get(spark: SparkSession, sf: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf, make.__name__)
+        if key not in _LOGS:
+            _LOGS[key] = stage.written(make(spark, sf), make.__name__)
+        return _LOGS[key]
+
+    return get
+
+
+@_once
 def wal(spark: SparkSession, sf: str) -> DataFrame:
     """The derived log as changes: each data record has the images (id, kind)."""
     rows = spark.sql(_WAL + "select * from wal", events=table(spark, sf, "events"))
@@ -82,6 +99,7 @@ def wal(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_once
 def wal_text(spark: SparkSession, sf: str) -> DataFrame:
     """The same log as text records: JSON, BEGIN and COMMIT."""
     rows = spark.sql(_WAL + "select * from wal", events=table(spark, sf, "events"))
@@ -95,7 +113,7 @@ def wal_text(spark: SparkSession, sf: str) -> DataFrame:
         F.when(has_old, strings("id")).alias("old_keys_name"), F.when(has_old, strings("bigint")).alias("old_keys_type"), F.when(has_old, F.array(id_)).alias("old_keys_val"),
     ))
     begin = F.concat(F.lit("BEGIN "), F.col("xid"))
-    commit = F.concat(F.lit("COMMIT "), F.col("xid"), F.lit(" (at 2024-01-15 10:30:00.089882+08) CSN "), F.col("csn"))
+    commit = F.concat(F.lit("COMMIT "), F.col("xid"), F.lit(" (at 2025-03-02 04:05:06.7+00) CSN "), F.col("csn"))
     data = F.when(F.col("type") == "BEGIN", begin).when(F.col("type") == "COMMIT", commit).otherwise(record)
     return rows.select(F.lit("main").alias("slot"), "pos", lsn.lsn_text(F.col("pos")).alias("lsn"), "xid", data.alias("data"))
 
@@ -371,36 +389,91 @@ def wal_text_parse(spark, sf):
     return records.parse_records(log).select(F.col("pos").alias("event_id"), F.col("schema").alias("schema_name"), F.col("table").alias("table_name"), "type")
 
 
-@query("select event_id * 1000 + k as pos, event_type as kind from events, (values (0), (1)) v(k)")
+@query("select event_id as pos, k, event_type as kind from events, (values (0), (1)) v(k)")
 def json_batch_split(spark, sf):
     one = F.to_json(F.struct(F.lit("public.e}{").alias("table_name"), F.col("event_type").alias("op_type")))
     log = table(spark, sf, "events").select(F.lit("main").alias("slot"), F.col("event_id").alias("pos"), F.concat(F.lit("["), one, F.lit(", "), one, F.lit("] {\"open\": ")).alias("data"))
-    return records.split_batches(log).select("pos", F.get_json_object("data", "$.op_type").alias("kind"))
-
-
-@query("select event_id, user_id, event_type, event_id + 1 as csn from events")
-def binary_decode(spark, sf):
-    """Events as binary batches of a transaction each, decoded again."""
+    return records.split_batches(log).select("pos", "k", F.get_json_object("data", "$.op_type").alias("kind"))
+
+
+@query("select event_id // 1500 as pos, cast(event_id % 1500 as integer) as k, user_id as id from events")
+def json_batch_large(spark, sf):
+    """Batches of 1500 records each, through the splitter and the parser."""
+    fields = lambda *v: F.array(*v)
+    one = F.to_json(F.struct(F.lit("public.events").alias("table_name"), F.lit("INSERT").alias("op_type"), fields(F.lit("id")).alias("columns_name"), fields(F.lit("bigint")).alias("columns_type"), fields(F.col("user_id").cast("string")).alias("columns_val")))
+    rows = table(spark, sf, "events").select(F.floor(F.col("event_id") / 1500).alias("pos"), F.struct("event_id", one.alias("one")).alias("r"))
+    log = rows.groupBy("pos").agg(F.array_join(F.array_sort(F.collect_list("r"))["one"], "\n").alias("data"))  # 1500 rows each
+    log = log.select(F.lit("main").alias("slot"), "pos", F.lit("0/1").alias("lsn"), F.lit(1).cast("long").alias("xid"), "data")
+    found = records.parse_records(records.split_batches(log))
+    return found.select("pos", "k", envelopes.value_of(F.col("after"), "id").cast("long").alias("id"))
+
+def _encoded(spark: SparkSession, sf: str, make: Callable[[int, int, str], list[binary.WalChange]], start: int = 0) -> DataFrame:
+    """Events as binary batches (slot, pos, data), one for each."""
     import pyarrow as pa
 
     def encode(batches):
         for batch in batches:
-            out = []
-            for event, user, kind in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                image = [("event_id", 20, str(event)), ("user_id", 20, str(user)), ("event_type", 1043, kind)]
-                out.append(binary.encode_batch([
-                    binary.WalChange("BEGIN", event * 8, csn=event + 1),
-                    binary.WalChange("INSERT", event * 8 + 1, schema="public", table="events", after=image),
-                    binary.WalChange("COMMIT", event * 8 + 2, xid=event),
-                ], separator_inside=event % 2 == 0))
-            yield pa.RecordBatch.from_arrays([pa.array(["main"] * len(out)), batch.column(0), pa.array(out, pa.binary())], names=["slot", "pos", "data"])
-
-    log = table(spark, sf, "events").select("event_id", "user_id", "event_type").mapInArrow(encode, "slot string, pos long, data binary")
-    found = tx.committed_prefix(binary.number_transactions(binary.decode_binary(log)))
+            out = [binary.encode_batch(make(*row), separator_inside=row[0] % 2 == 0) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+            places = pa.array([event + start for event in batch.column(0).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(["main"] * len(out), pa.string()), places, pa.array(out, pa.binary())], names=["slot", "pos", "data"])
+
+    return table(spark, sf, "events").select("event_id", "user_id", "event_type").mapInArrow(encode, "slot string, pos long, data binary")
+
+
+def _one_insert(event: int, user: int, kind: str) -> list[binary.WalChange]:
+    image = [("event_id", 20, str(event)), ("user_id", 20, str(user)), ("event_type", 1043, kind)]
+    insert = binary.WalChange("INSERT", event * 8 + 1, schema="public", table="events", after=image)
+    return [binary.WalChange("BEGIN", event * 8, csn=event + 1), insert, binary.WalChange("COMMIT", event * 8 + 2, xid=event)]
+
+
+@_once
+def binary_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Each event as a batch of one transaction."""
+    return _encoded(spark, sf, _one_insert)
+
+
+@_once
+def binary_log_over_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Transactions of eight events over eight batches, at places beyond ten million million; the first event begins one and
+    the last commits it. Every third event is an update with its old image, every fifth a delete."""
+
+    def make(event: int, user: int, kind: str) -> list[binary.WalChange]:
+        image, key = [("event_id", 20, str(event)), ("user_id", 20, str(user)), ("event_type", 1043, kind)], [("event_id", 20, str(event))]
+        op = "DELETE" if event % 5 == 0 else "UPDATE" if event % 3 == 0 else "INSERT"
+        change = binary.WalChange(op, event * 8 + 1, schema="public", table="events", before=None if op == "INSERT" else key, after=None if op == "DELETE" else image)
+        begin = [binary.WalChange("BEGIN", event * 8, csn=event // 8 + 1)] if event % 8 == 0 else []
+        return [*begin, change, *([binary.WalChange("COMMIT", event * 8 + 2, xid=event // 8)] if event % 8 == 7 else [])]
+
+    return _encoded(spark, sf, make, 10_000_000_000_000)
+
+
+@query("select event_id, user_id, event_type, event_id + 1 as csn from events")
+def binary_decode(spark, sf):
+    """Binary batches of a transaction each, decoded and released."""
+    found = tx.committed_prefix(binary.number_transactions(binary.decode_binary(binary_log(spark, sf))))
     value = lambda n: envelopes.value_of(F.col("after"), n)
     return found.select(value("event_id").cast("long").alias("event_id"), value("user_id").cast("long").alias("user_id"), value("event_type").alias("event_type"), F.col("commit_csn").alias("csn"))
 
 
+_OVER = "with m as (select *, (select max(event_id) from events) most from events), o as (select *, event_id // 8 blk, case when event_id % 5 = 0 then 'DELETE' when event_id % 3 = 0 then 'UPDATE' else 'INSERT' end op from m) "
+_WHOLE = " where blk * 8 + 7 <= most"
+
+
+@query(_OVER + "select event_id, op as type, case when op <> 'DELETE' then event_type end as event_type, case when op <> 'INSERT' then event_id end as old_id, blk + 1 as csn from o" + _WHOLE)
+def binary_update_delete(spark, sf):
+    """Inserts, updates with old images and deletes of transactions that lie over many batches; the last one stays open."""
+    found = tx.committed_prefix(binary.number_transactions(binary.decode_binary(binary_log_over_batches(spark, sf))))
+    new, old = (envelopes.value_of(F.col(c), "event_id").cast("long") for c in ("after", "before"))
+    return found.select(F.coalesce(new, old).alias("event_id"), "type", envelopes.value_of(F.col("after"), "event_type").alias("event_type"), old.alias("old_id"), F.col("commit_csn").alias("csn"))
+
+
+@query(_OVER + "select 10000000000000 + event_id as pos, case when event_id % 8 = 0 then 1 else 0 end as k, 10000000000000 + blk * 8 as txn_pos from o" + _WHOLE)
+def binary_large_position(spark, sf):
+    """Places beyond ten million million, and the place at which each record's transaction began."""
+    found = tx.committed_prefix(binary.number_transactions(binary.decode_binary(binary_log_over_batches(spark, sf))))
+    return found.select("pos", "k", F.col("txn.pos").alias("txn_pos"))
+
+
 # --- transactions ----------------------------------------------------------------------------------------------------
 
 
