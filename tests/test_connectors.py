@@ -35,7 +35,7 @@ def test_addresses():
         d.dialect_for("jdbc:other://h/db")
     url = d.replication_url("jdbc:own://h:8000/db?replication=database&", 8001)
     assert url == "jdbc:own://h:8001/db?replication=database&preferQueryMode=simple&assumeMinServerVersion=9.4"
-    assert d.slot_options() == {"include-xids": "true", "include-timestamp": "true"} and d.slot_options(4, "J", True)["decode-style"] == "j"
+    assert d.slot_options() == {"include-xids": "1", "include-timestamp": "1"} and d.slot_options(4, "J", True)["decode-style"] == "j"
     assert d.parse_boundary(d.snapshot_boundary(7, "00A-1", 255)) == ("00A-1", 255)
     with pytest.raises(ValueError):
         d.snapshot_id("x'; drop")
@@ -74,12 +74,15 @@ def test_catalog(spark):
             return spark.createDataFrame([("db",), ("template0",)], "datname string")
         if "information_schema.tables" in sql:
             return spark.createDataFrame([("public", "b", "BASE TABLE"), ("public", "a", "BASE TABLE"), ("s", "v", "VIEW"), ("pg_catalog", "p", "BASE TABLE")], "table_schema string, table_name string, table_type string")
+        if "PRIMARY KEY" in sql:
+            return spark.createDataFrame([("price", 2), ("id", 1)], "c string, place int")
         return spark.createDataFrame([("id", "int8", 64, 0, "NO"), ("price", "numeric", 10, 2, "YES")], "c string, k string, p int, s int, n string")
 
     c = catalog.Catalog(read, "db")
     assert c.list_databases() == ["db"] and c.list_tables("db") == ["public.a", "public.b"]
     assert c.table_exists("db", "a") and not c.table_exists("db", "s.v") and not c.table_exists("none", "a")
     assert c.table_schema("db", "a") == T.StructType().add("id", "long", False).add("price", T.DecimalType(10, 2))
+    assert c.table("db", "a").primary_key == ("id", "price")
     with pytest.raises(catalog.DatabaseNotFoundError):
         c.list_tables("none")
     with pytest.raises(ValueError):
@@ -248,6 +251,28 @@ def test_changes_reach_a_database(spark, tmp_path):
     for _ in range(2):  # twice gives the same
         jdbc.write_changes(changes, connect, options, ["id"], ["_pos"], upsert_sql=sql)
     assert sqlite3.connect(path).execute("select * from t order by id").fetchall() == [(1, "b", 2), (3, "y", 9)]
+    with pytest.raises(ValueError):
+        jdbc.write_changes(changes, connect, options, ["id"], [], upsert_sql=sql)
+
+
+def test_batches_by_size_and_time():
+    clock = iter([0, 0, 0.4, 1.1, 1.1, 1.2, 1.3])
+    assert list(jdbc._in_batches("abcde", 3, 1, lambda: next(clock, 9))) == [["a", "b"], ["c", "d", "e"]]
+    assert list(jdbc._in_batches("abcde", 2)) == [["a", "b"], ["c", "d"], ["e"]] and list(jdbc._in_batches("", 2)) == []
+
+
+def test_writes_are_tried_again_within_their_time():
+    tries = []
+
+    def connect():
+        tries.append(1)
+        raise ConnectionError
+
+    for retries, timeout, n in ((2, 60, 3), (5, 0, 1)):
+        tries.clear()
+        with pytest.raises(ConnectionError):
+            jdbc._write(connect, "", [], retries, timeout)
+        assert len(tries) == n
 
 
 def test_keyset_pages(spark):
@@ -260,3 +285,6 @@ def test_keyset_pages(spark):
 
     pages = jdbc.keyset_pages(read, d.POSTGRES_FAMILY, "kp", ["id", "ts"], ["id"], 4)
     assert [p.count() for p in pages] == [4, 4, 2]
+    spark.range(10).selectExpr("id", "timestamp_seconds(id div 4 + 1) ts").createOrReplaceTempView("kt")
+    pages = jdbc.keyset_pages(lambda sql, values: spark.sql(sql, args=values), d.POSTGRES_FAMILY, "kt", ["id", "ts"], ["ts", "id"], 3)
+    assert [[r["id"] for r in p.collect()] for p in pages] == [[0, 1, 2], [3, 4, 5], [6, 7, 8], [9]]

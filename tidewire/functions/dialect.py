@@ -129,7 +129,7 @@ def replication_url(url: str, replication_port: int | None = None) -> str:
 
 def slot_options(parallel: int = 1, style: str = "b", batch: bool = False) -> dict[str, str]:
     """The options of a log slot."""
-    options = {"include-xids": "true", "include-timestamp": "true"}
+    options = {"include-xids": "1", "include-timestamp": "1"}
     if parallel > 1:
         options |= {"parallel-decode-num": str(parallel), "decode-style": style.lower()}
         if batch:
@@ -158,3 +158,27 @@ def snapshot_boundary(group: int, snapshot: str, csn: int) -> str:
 def parse_boundary(text: str) -> tuple[str, int]:
     head, _, csn = text.rpartition(":")
     return snapshot_id(head.partition(":")[2]), int(csn, 16)
+
+
+def function_exists(name: str) -> str:
+    """Whether the server has a function, whatever schema it lies in."""
+    text = name.replace("'", "''")
+    return f"SELECT EXISTS (SELECT 1 FROM pg_proc p JOIN pg_namespace n ON n.oid = p.pronamespace WHERE p.proname = '{text}')"
+
+
+#: How a snapshot is exported, the best way first: with its sequence number at once, or the number before it, or without one.
+SNAPSHOT_EXPORTS = (
+    ("pg_export_snapshot_and_csn", "SELECT * FROM pg_export_snapshot_and_csn()"),
+    ("pg_current_csn", "SELECT pg_export_snapshot(), pg_current_csn()"),
+    ("pg_export_snapshot", "SELECT pg_export_snapshot(), NULL"),
+)
+
+
+def import_snapshot(snapshot: str) -> list[str]:
+    """Takes another connection's snapshot, in a transaction that has read nothing yet."""
+    return ["BEGIN TRANSACTION ISOLATION LEVEL REPEATABLE READ", f"SET TRANSACTION SNAPSHOT '{snapshot_id(snapshot)}'"]
+
+
+def advisory_lock(group: int, locked: bool = True) -> str:
+    """Takes or gives back the lock that one of several readers holds while it exports a snapshot."""
+    return f"SELECT pg_{'try_' if locked else ''}advisory_{'lock' if locked else 'unlock'}({int(group)})"

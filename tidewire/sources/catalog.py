@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,21 @@ _COLUMNS = (
 )
 
 
+_KEYS = (
+    "SELECT k.column_name, k.ordinal_position AS place FROM information_schema.table_constraints c JOIN information_schema.key_column_usage k "
+    "ON k.constraint_schema = c.constraint_schema AND k.constraint_name = c.constraint_name "
+    "WHERE c.constraint_type = 'PRIMARY KEY' AND c.table_schema = '{schema}' AND c.table_name = '{table}'"
+)
+
+
+@dataclass(frozen=True)
+class Table:
+    """A table's columns, and the columns of its primary key in their order, which may be several or none."""
+
+    schema: T.StructType
+    primary_key: tuple[str, ...] = ()
+
+
 def jdbc_reader(spark: SparkSession, options: CatalogOptions) -> Reader:
     """Reads over JDBC; each database has its own address."""
     base = options.base_url.rstrip("/")
@@ -88,11 +104,20 @@ class Catalog:
             return False
 
     def table_schema(self, database: str, name: str) -> T.StructType:
+        return self.table(database, name).schema
+
+    def table(self, database: str, name: str) -> Table:
         if not self.table_exists(database, name):
             raise TableNotFoundError(f"{database}.{name}")
         path = TablePath.parse(name)
-        sql = _COLUMNS.format(schema=path.schema.replace("'", "''"), table=path.table.replace("'", "''"))
+        named = {"schema": path.schema.replace("'", "''"), "table": path.table.replace("'", "''")}
         schema = T.StructType()
-        for column, kind, p, s, nullable in self.read(database, sql).collect():
+        for column, kind, p, s, nullable in self.read(database, _COLUMNS.format(**named)).collect():
             schema.add(column, map_type(kind, p, s), nullable == "YES")
-        return schema
+        keys = sorted(self.read(database, _KEYS.format(**named)).collect(), key=lambda r: r[1])
+        return Table(schema, tuple(r[0] for r in keys))
+
+
+def open_catalog(spark: SparkSession, options: CatalogOptions) -> Catalog:
+    """The catalog of a server, over JDBC."""
+    return Catalog(jdbc_reader(spark, options), options.default_database)

@@ -14,6 +14,10 @@ from ..functions.options import JdbcOptions
 from ..operators.changelog import DELETED, latest
 
 
+#: Rows of a page where automatic commits are off and no size is given.
+FETCH = 1000
+
+
 def _properties(options: JdbcOptions) -> dict[str, str]:
     found = {"user": options.username, "password": options.password or None, "driver": options.driver}
     return {k: v for k, v in found.items() if v}
@@ -21,10 +25,11 @@ def _properties(options: JdbcOptions) -> dict[str, str]:
 
 def scan(spark: SparkSession, options: JdbcOptions, custom_schema: str | None = None) -> DataFrame:
     """The table as a DataFrame. Filters, columns, limits and, with a JDBC catalog, aggregates are pushed down; with the
-    options ``scan.partition.*`` it is read by so many tasks."""
+    options ``scan.partition.*`` it is read by so many tasks. Rows come in pages of ``scan.fetch-size``, for which Spark
+    turns automatic commits off where the database needs that; with ``scan.auto-commit`` off they always come in pages."""
     reader = spark.read.format("jdbc").options(url=options.url, dbtable=options.table_name, **_properties(options))
-    if options.fetch_size:
-        reader = reader.option("fetchsize", options.fetch_size)
+    if fetch := options.fetch_size or (0 if options.auto_commit else FETCH):
+        reader = reader.option("fetchsize", fetch)
     if custom_schema:
         reader = reader.option("customSchema", custom_schema)
     if options.partition_column is not None:
@@ -44,9 +49,16 @@ def append(df: DataFrame, options: JdbcOptions) -> None:
 Connect = Callable[[], Any]
 
 
-def _in_batches(rows: Iterable[Row], size: int) -> Iterator[list[Row]]:
+def _in_batches(rows: Iterable[Row], size: int, interval_s: float = 0, now: Callable[[], float] = time.monotonic) -> Iterator[list[Row]]:
+    """Batches of so many rows, or of what has come when the first of them has waited for so long (0: no limit)."""
     held: list[Row] = []
+    since = now()
     for row in rows:
+        if held and interval_s and now() - since >= interval_s:
+            yield held
+            held = []
+        if not held:
+            since = now()
         held.append(row)
         if len(held) >= size:
             yield held
@@ -55,21 +67,26 @@ def _in_batches(rows: Iterable[Row], size: int) -> Iterator[list[Row]]:
         yield held
 
 
-def _write(connect: Connect, sql: str, values: list[tuple], retries: int) -> None:
+def _write(connect: Connect, sql: str, values: list[tuple], retries: int, timeout_s: float) -> None:
+    """Tries again so many times, but not after so many seconds."""
+    began = time.monotonic()
     for k in range(retries + 1):
-        connection = connect()
+        connection = None
         try:
+            connection = connect()
             cursor = connection.cursor()
             cursor.executemany(sql, values)
             connection.commit()
             return
         except Exception:
-            connection.rollback()
-            if k == retries:
+            if connection is not None:
+                connection.rollback()
+            if k == retries or time.monotonic() - began >= timeout_s:
                 raise
             time.sleep(min(2**k, 10) / 10)
         finally:
-            connection.close()
+            if connection is not None:
+                connection.close()
 
 
 def write_changes(
@@ -77,23 +94,26 @@ def write_changes(
     upsert_sql: str | None = None, delete_sql: str | None = None, mark: str = "?",
 ) -> None:
     """Writes a changelog (``_op`` and the columns): upserts and deletes by key, so that a batch that is written twice gives
-    the same table. The changes are first reduced to the last one of each key, as the order across tasks is not fixed."""
+    the same table. The changes are first reduced to the last one of each key by ``order``, as the order across tasks is
+    not fixed and a batch deletes before it upserts."""
+    if not order:
+        raise ValueError("changes need columns that say which one of a key comes last")
     dialect = dialect or dialect_for(options.url)
     fields = [c for c in changes.columns if c != "_op" and c not in order]
     up = upsert_sql or dialect.upsert(options.table_name, fields, keys, mark, options.ignore_null)
     down = delete_sql or dialect.delete(options.table_name, keys, mark)
-    size, retries = options.buffer_rows, options.max_retries
+    size, interval, retries, timeout = options.buffer_rows, options.buffer_interval_ms / 1000, options.max_retries, options.connection_timeout_s
 
     def run(rows: Iterator[Row]) -> None:
-        for batch in _in_batches(rows, size):
+        for batch in _in_batches(rows, size, interval):
             gone = [tuple(r[k] for k in keys) for r in batch if r["_op"] == DELETED]
             kept = [tuple(r[f] for f in fields) for r in batch if r["_op"] != DELETED]
             if gone:
-                _write(connect, down, gone, retries)
+                _write(connect, down, gone, retries, timeout)
             if kept:
-                _write(connect, up, kept, retries)
+                _write(connect, up, kept, retries, timeout)
 
-    last = latest(changes, keys, order).select("_op", *fields) if order else changes.select("_op", *fields)
+    last = latest(changes, keys, order).select("_op", *fields)
     (last.repartition(options.parallelism, *keys) if options.parallelism else last).foreachPartition(run)
 
 
@@ -126,11 +146,14 @@ def driver_execute(spark: SparkSession, url: str) -> Callable[[str], None]:
     return run
 
 
-def keyset_pages(read: Callable[[str, list], DataFrame], dialect: Dialect, table: str, fields: list[str], keys: list[str], size: int) -> Iterator[DataFrame]:
-    """Pages of a table behind a cursor over ``keys``; ``read`` runs SQL with its values."""
+def keyset_pages(
+    read: Callable[[str, list], DataFrame], dialect: Dialect, table: str, fields: list[str], keys: list[str], size: int, start: Any = "1970-01-01 00:00:00"
+) -> Iterator[DataFrame]:
+    """Pages of a table behind a cursor over ``keys``; ``read`` runs SQL with its values. With two keys the first page is
+    what lies behind ``start`` in the first key."""
     cursor: list | None = None
     while True:
-        values = [] if cursor is None else cursor if len(keys) == 1 else [cursor[0], *cursor]
+        values = ([] if len(keys) == 1 else [start]) if cursor is None else cursor if len(keys) == 1 else [cursor[0], *cursor]
         page = read(dialect.keyset_page(table, fields, keys, size, first=cursor is None), values)
         last = page.agg(F.max(F.struct(*keys)), F.count("*")).first()
         if not last[1]:
