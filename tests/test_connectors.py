@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tidewire.functions import dialect as d
 from tidewire.functions.options import CatalogOptions, CdcOptions, JdbcOptions, OptionError
 from tidewire.sources import catalog, jdbc, transport
+from tidewire.streaming import capture
 from tidewire.streaming.log_source import LogSource, reassemble_stream
 
 # --- SQL text
@@ -137,7 +138,7 @@ class FakeServer:
 
 def test_peek_transport():
     server = FakeServer()
-    t = transport.PeekTransport(lambda: server, "s")
+    t = transport.PeekTransport(lambda: server, "s", "mppdb_decoding")
     assert t.prepare_slot() == "0/10" and t.exists()
     assert [r[3] for r in t.read(0, 3)] == ["d1", "d2", "d3"] and [r[3] for r in t.read(3, 3)] == ["d4", "d5", "d6"]
     t.ack("0/3")
@@ -171,7 +172,7 @@ def test_reconnect_checks_the_schema(tmp_path):
 
     assert transport.with_reconnect(t, call, lambda: {"t": ["a"]}, {"t": ["a"]}) == "done"
     tries.clear()
-    with pytest.raises(transport.TransportError, match="Unsupported schema change"):
+    with pytest.raises(transport.TransportError, match="other columns"):
         transport.with_reconnect(t, call, lambda: {"t": ["a", "b"]}, {"t": ["a"]})
     assert transport.discover_tables([("public", "b1"), ("public", "a"), ("x", "b2")], "public", "b.") == [("public", "b1")]
 
@@ -208,6 +209,223 @@ def test_stream_restarts_behind_its_checkpoint(spark, tmp_path):
     assert run() == [2, 4]
 
 
+# --- snapshot and log in one stream
+
+SERVER = {}
+
+
+class StandInCursor:
+    """A server's answers: its catalog and tables from sqlite, its slot from a list."""
+
+    def __init__(self, server):
+        self.server, self.description, self.rows = server, ("x",), []
+
+    def execute(self, sql, values=()):
+        s = self.server
+        s["calls"].append((sql, tuple(values)))
+        if s["fail"]:
+            s["fail"] -= 1
+            raise ConnectionError("gone")
+        if "information_schema.tables" in sql:
+            self.rows = [("public", "t"), ("public", "other"), ("x", "t")]
+        elif "PRIMARY KEY" in sql:
+            self.rows = [("id",)]
+        elif "information_schema.columns" in sql:
+            self.rows = s["columns"]
+        elif "pg_replication_slots" in sql:
+            self.rows = [(1,)] if s["slot"] else []
+        elif "pg_create" in sql:
+            s["slot"], self.rows = True, [("slot", "0/1")]
+        elif "peek" in sql:
+            self.rows = s["log"][: int(sql.split("NULL, ")[1].split(",")[0])]
+        elif "advance" in sql:
+            s["acked"].append(values[1])
+            s["log"] = [r for r in s["log"] if int(r[0][2:], 16) > int(values[1][2:], 16)]
+        elif sql.startswith("SELECT"):
+            after = values[0] if values else 0
+            self.rows = [r for r in s["table"] if r[0] > after][: int(sql.rsplit(" ", 1)[1])]
+
+    def fetchall(self):
+        return self.rows
+
+    def close(self):
+        pass
+
+
+class StandIn:
+    def cursor(self):
+        return StandInCursor(SERVER)
+
+    def rollback(self):
+        pass
+
+    def close(self):
+        pass
+
+
+def connect():
+    return StandIn()
+
+
+def insert(k):
+    from tidewire.functions.records import json_record
+
+    return json_record("public.t", "INSERT", [("id", "bigint", str(k)), ("v", "text", "new")])
+
+
+@pytest.fixture
+def server():
+    log = [("BEGIN 7",), (insert(11),), ("BEGIN 8",), (insert(12),), ("COMMIT 8 CSN 5",), (insert(12).replace("public.t", "public.zz"),), ("COMMIT 7 CSN 6",)]
+    SERVER.clear()
+    SERVER.update(calls=[], fail=0, slot=False, acked=[], columns=[("id", "bigint"), ("v", "text")], table=[(k, f"v{k}") for k in range(1, 6)])
+    SERVER["log"] = [(f"0/{16 + k:X}", "8" if k in (2, 3, 4) else "7", d) for k, (d,) in enumerate(log)]
+    return SERVER
+
+
+CAPTURE = NEEDED | {"table-name": "t", "wal.mode": "true", "chunk.size": "2", "slot.name": "s", "connect": f"{__name__}:connect", "maxRowsPerBatch": "3"}
+
+
+def reader(**more):
+    return capture.ChangeReader(*capture.parsed_options(CAPTURE | more))
+
+
+def drain(r, at):
+    out = []
+    while True:
+        rows, end = r.read(at)
+        rows = list(rows)
+        if not rows:
+            return out, at
+        out.append((rows, end))
+        at = end
+
+
+def test_snapshot_then_log_and_acknowledgement(server):
+    r = reader()
+    batches, end = drain(r, r.initialOffset())
+    rows = [x for b, _ in batches for x in b]
+    assert [len(b) for b, _ in batches] == [2, 2, 1, 3, 3, 1]
+    first = next(i for i, (sql, _) in enumerate(server["calls"]) if "FROM " + '"public"."t"' in sql)
+    assert any("pg_create" in sql for sql, _ in server["calls"][:first])  # the slot comes before the snapshot
+    assert [x[3] for x in rows[:5]] == [-1] * 5 and [x[1] for x in rows] == list(range(12)) and rows[5][4] == "BEGIN 7"
+    assert server["acked"] == [] and [e.get("after") for _, e in batches] == [0, 0, 0, 3, 6, 0]
+    for _, e in batches:
+        r.commit(e)
+    assert server["acked"] == ["0/16"] and server["log"] == []
+    server["log"] = [("0/20", "9", "BEGIN 9"), ("0/21", "9", "COMMIT 9 CSN 9")]
+    more, _ = drain(r, end)
+    assert [x[4] for x in more[0][0]] == ["BEGIN 9", "COMMIT 9 CSN 9"]
+
+
+def test_restart_before_and_after_acknowledgement(server):
+    r = reader(**{"snapshot.mode": "false"})
+    batches, _ = drain(r, r.initialOffset())
+    (rows1, end1), (rows2, end2), (rows3, end3) = batches
+    again = reader(**{"snapshot.mode": "false"})  # nothing was acknowledged
+    assert list(again.readBetweenOffsets(end1, end2)) == rows2
+    found, end = drain(again, end2)
+    assert [x for b, _ in found for x in b] == rows3 and end == end3
+    again.commit(end)
+    assert server["acked"] == ["0/16"]
+    third = reader(**{"snapshot.mode": "false"})
+    assert drain(third, end) == ([], end)
+
+
+def test_snapshot_goes_on_at_its_page(server):
+    r = reader()
+    _, end = r.read(r.initialOffset())
+    rows, _ = reader().read(end)
+    assert [json.loads(x[4])["columns_val"][0] for x in rows] == ["3", "4"]
+    assert [x[1] for x in reader().readBetweenOffsets(r.initialOffset(), end)] == [0, 1]
+
+
+def test_lost_connections_and_changed_columns(server):
+    r = reader(**{"snapshot.mode": "false"})
+    (rows, end) = r.read(r.initialOffset())
+    server["fail"] = 1
+    again, _ = r.read(end)
+    assert [x[4] for x in again][1].startswith("COMMIT 8") and len(list(rows)) == 3
+    server["fail"], server["columns"] = 1, [("id", "bigint")]
+    with pytest.raises(transport.TransportError, match="other columns"):
+        r.read(end)
+
+
+def test_push_is_tried_first(server):
+    r = reader(push=f"{__name__}:send", **{"snapshot.mode": "false", "parallel-decode-num": "4"})
+    assert isinstance(r.transport, transport.PushTransport) and [x[4] for x in r.read(r.initialOffset())[0]] == ["BEGIN 1"]
+    assert isinstance(reader(push=f"{__name__}:no_push").transport, transport.PeekTransport)
+    for bad in ({"connect": ""}, {"wal.mode": "false"}, {"connect": "nothing"}):
+        with pytest.raises(OptionError):
+            reader(**bad)
+
+
+def send(start, options):
+    assert options["parallel-decode-num"] == "4"
+    return iter([("0/1", 1, "BEGIN 1")])
+
+
+def no_push(start, options):
+    raise RuntimeError("no push here")
+
+
+def test_change_stream_over_files(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    (tmp_path / "snapshot").mkdir()
+    write_log(tmp_path / "snapshot", "1.jsonl", [(k, "0/0", 0, insert(k)) for k in range(5)])
+    data = ["BEGIN 7", insert(11), "BEGIN 8", insert(12), "COMMIT 8 CSN 5", insert(13).replace("public.t", "public.zz"), "COMMIT 7 CSN 6"]
+    write_log(tmp_path / "log", "1.jsonl", [(k, f"0/{16 + k:X}", 8 if k in (2, 3, 4) else 7, d) for k, d in enumerate(data)])
+    options = {k: v for k, v in CAPTURE.items() if k != "connect"} | {"path": str(tmp_path)}
+
+    def run(name, **more):
+        q = capture.change_stream(spark, options | more, ["id"]).writeStream.format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).start()
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+        return spark.table(name).orderBy("txn", "pos").collect()
+
+    rows = run("raw_changes")
+    assert [(r["op"], r["after"][0]["value"]) for r in rows] == [*(("r", str(k)) for k in range(5)), ("c", "11"), ("c", "12")]
+    events = [json.loads(r["event"]) for r in run("json_changes", **{"output.format": "json", "output.json.format": "he"})]
+    assert [e["pkValues"] for e in events] == [[str(k)] for k in (0, 1, 2, 3, 4, 11, 12)] and "lsn" not in events[0] and events[5]["lsn"] == "0/11"
+
+
+def test_polling_keeps_its_state(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidewire.streaming import polling
+
+    make = lambda rows: spark.createDataFrame(rows, "id long, v string, s long").select("id", "v", F.timestamp_seconds("s").cast("timestamp_ntz").alias("updated_at"))
+    state, seen, now = str(tmp_path / "state"), [], {}
+
+    def sink(changes, cycle):
+        seen.append((cycle, sorted((r["_phase"], r["_op"], r["id"]) for r in changes.collect())))
+
+    def cycle(rows, **more):
+        now["rows"] = rows
+        return polling.poll(spark, lambda: make(now["rows"]), sink, state, "id", "updated_at", 2, **more)
+
+    a = [(1, "a", 1), (2, "b", 1), (3, "c", 1)]
+    assert cycle(a) == 0 and seen[-1] == (0, [(0, "r", 1), (0, "r", 2), (0, "r", 3)])
+    b = [(1, "A", 5), (3, "c", 1), (4, "d", 5), (5, "e", 5), (6, "f", 0)]
+    assert cycle(b) == 1 and seen[-1] == (1, [(1, "c", 4), (1, "u", 1), (2, "c", 5), (3, "d", 2)])
+    first = seen[-1]
+
+    def broken(changes, number):
+        sink(changes, number)
+        raise RuntimeError("cut short")
+
+    now["rows"] = b
+    with pytest.raises(RuntimeError):
+        polling.poll(spark, lambda: make(b), broken, state, "id", "updated_at", 2)
+    cut = seen.pop()
+    assert cycle(b) == 2 and seen[-1] == cut == (2, [(1, "u", 5), (2, "c", 6)]) and first[0] == 1
+    assert cycle(b) == 3 and seen[-1] == (3, [])
+    known, cursor = polling.PollState(spark, state).load(3)
+    assert sorted(r["id"] for r in known.collect()) == [1, 3, 4, 5, 6] and (cursor.last_key, cursor.last_update_key) == (6, 5) and cursor.last_time.year == 1970
+    assert polling.PollState(spark, state).versions() == [2, 3]
+
+
 # --- JDBC
 
 

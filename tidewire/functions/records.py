@@ -55,8 +55,9 @@ def zipped(names: Column, types: Column, values: Column) -> Column:
     return F.when(F.size(names) > 0, F.transform(names, one))
 
 
-def parse_records(log: DataFrame, data: str = "data") -> DataFrame:
-    """A log (slot, pos, lsn, xid, data, and ``k`` where batches were split) as changes. Fields that a record does not have are null.
+def parse_records(log: DataFrame, data: str = "data", keep: list[str] | None = None) -> DataFrame:
+    """A log (slot, pos, lsn, xid, data, and ``k`` where batches were split) as changes; ``keep`` names other columns to
+    stand before them. Fields that a record does not have are null.
 
     A JSON object that is no record, and anything else that is none, has the type UNKNOWN and is kept with its text.
     """
@@ -67,8 +68,9 @@ def parse_records(log: DataFrame, data: str = "data") -> DataFrame:
     name = split_qualified(F.when(is_data, F.when(is_json, F.col("_json.table_name")).otherwise(F.nullif(text_name, F.lit("")))))
     new = zipped(F.col("_json.columns_name"), F.col("_json.columns_type"), F.col("_json.columns_val"))
     old = zipped(F.col("_json.old_keys_name"), F.col("_json.old_keys_type"), F.col("_json.old_keys_val"))
+    place = keep or ["slot", "pos", *(["k"] if "k" in log.columns else []), "lsn", "xid"]
     return rows.select(
-        "slot", "pos", *(["k"] if "k" in log.columns else []), "lsn", "xid",
+        *place,
         F.when(F.col("_type") == "COMMIT", commit_csn(raw)).otherwise(F.lit(0).cast("long")).alias("csn"),
         F.col("_type").alias("type"),
         name["schema"].alias("schema"), name["table"].alias("table"),

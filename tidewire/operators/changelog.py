@@ -170,6 +170,15 @@ def poll_cycle(known: DataFrame, current: DataFrame, key: str, cursor: Cursor, s
     return out
 
 
+def known_after(known: DataFrame, current: DataFrame, key: str, cursor: Cursor, size: int = 1000, time: str | None = None) -> DataFrame:
+    """The rows known after one cycle: the pages take the place of older rows, and what is gone is forgotten."""
+    seen = known
+    if time is not None:
+        seen = upsert(seen, update_page(current, key, time, cursor, size).select(known.columns), [key])
+    seen = upsert(seen, insert_page(current, key, cursor, size).select(known.columns), [key])
+    return seen.join(current.select(key), key, "left_semi").select(known.columns)
+
+
 def next_cursor(current: DataFrame, key: str, cursor: Cursor, size: int = 1000, time: str | None = None) -> Cursor:
     """The cursor behind the pages of one cycle."""
     last = insert_page(current, key, cursor, size).agg(F.max(key)).first()[0]

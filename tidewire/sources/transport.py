@@ -40,35 +40,51 @@ class Transport(Protocol):
 
 
 class FileTransport:
-    """Replays a folder of JSON-lines files (pos, lsn, xid, data), in the order of their names."""
+    """Replays a folder of files with a JSON object (pos, lsn, xid, data) on each line, in the order of their names. A read that
+    goes on where the last one ended does not start from the front again."""
 
     def __init__(self, folder: str):
         self.folder, self.acked = Path(folder), ""
+        self._mark: tuple[int, str, int] = (0, "", 0)  # rows behind the position, and the file and byte behind the last of them
 
     def open(self, start_lsn: str | None = None) -> None:
-        self.acked = start_lsn or ""
+        self.acked, self._mark = start_lsn or "", (0, "", 0)
 
-    def _rows(self) -> Iterator[Row]:
-        done = lsn_to_int(self.acked)
-        for path in sorted(self.folder.glob("*.jsonl")):
-            with path.open(encoding="utf-8") as lines:
-                for line in lines:
-                    r = json.loads(line)
-                    if done is None or (lsn_to_int(r["lsn"]) or 0) > done:
-                        yield r["pos"], r["lsn"], r["xid"], r["data"]
+    def files(self) -> list[Path]:
+        return sorted(p for p in self.folder.glob("*.json*") if not p.name.startswith((".", "_")))
 
     def read(self, after: int, limit: int) -> list[Row]:
-        return list(itertools.islice(self._rows(), after, after + limit))
+        done, (n, name, at) = lsn_to_int(self.acked), self._mark
+        if n > after:
+            n, name, at = 0, "", 0
+        rows: list[Row] = []
+        for path in self.files():
+            if path.name < name:
+                continue
+            with path.open("rb") as lines:
+                lines.seek(at if path.name == name else 0)
+                while len(rows) < limit and (line := lines.readline()):
+                    if not line.endswith(b"\n"):  # still being written
+                        break
+                    r = json.loads(line)
+                    if done is None or (lsn_to_int(r["lsn"]) or 0) > done:
+                        n += 1
+                        if n > after:
+                            rows.append((r["pos"], r["lsn"], r["xid"], r["data"]))
+                    self._mark = (n, path.name, lines.tell())
+            if len(rows) >= limit:
+                break
+        return rows
 
     def prepare_slot(self) -> str:
         return self.acked or "0/0"
 
     def ack(self, lsn: str) -> None:
         if (lsn_to_int(lsn) or -1) > (lsn_to_int(self.acked) or -1):
-            self.acked = lsn
+            self.acked, self._mark = lsn, (0, "", 0)
 
     def drop(self) -> None:
-        self.acked = ""
+        self.acked, self._mark = "", (0, "", 0)
 
     def close(self) -> None:
         pass
@@ -78,7 +94,7 @@ class PeekTransport:
     """Reads a slot by SQL without moving it; ``connect`` gives a DB-API connection. A peek starts at the slot's
     position every time, so rows that were read but not acknowledged are skipped."""
 
-    def __init__(self, connect: Callable[[], Any], slot: str, plugin: str = "mppdb_decoding", parallel: int = 1, mark: str = "?"):
+    def __init__(self, connect: Callable[[], Any], slot: str, plugin: str, parallel: int = 1, mark: str = "?"):
         self.connect, self.slot, self.plugin, self.parallel, self.mark, self.connection = connect, slot, plugin, parallel, mark, None
 
     def _rows(self, sql: str, *values: Any) -> list[tuple]:
@@ -191,9 +207,9 @@ def first_that_opens(*makers: Callable[[], Transport], start_lsn: str | None = N
     raise TransportError("no transport opens: " + "; ".join(failed))
 
 
-def with_reconnect(transport: Transport, call: Callable[[Transport], Any], columns: Callable[[], dict[str, list[str]]], known: dict[str, list[str]], tries: int = 3) -> Any:
-    """``call`` again after a lost connection, if the tables still have the same columns; pending transactions are read
-    anew from the slot's position."""
+def with_reconnect(transport: Transport, call: Callable[[Transport], Any], columns: Callable[[], dict[str, list[str]]], known: dict[str, list[str]], tries: int = 3, start_lsn: str | None = None) -> Any:
+    """``call`` again after a lost connection, if the tables still have the same columns; the transport opens again at
+    ``start_lsn``, where the slot stands."""
     for k in range(tries):
         try:
             return call(transport)
@@ -201,10 +217,10 @@ def with_reconnect(transport: Transport, call: Callable[[Transport], Any], colum
             if k == tries - 1:
                 raise
             transport.close()
-            transport.open()
+            transport.open(start_lsn)
             if (now := columns()) != known:
                 changed = sorted(t for t in {*now, *known} if now.get(t) != known.get(t))
-                raise TransportError(f"Unsupported schema change detected in {', '.join(changed)}") from error
+                raise TransportError(f"these tables have other columns than when the capture began: {', '.join(changed)}") from error
     return None
 
 
