@@ -331,15 +331,17 @@ def exact_links(texts: DataFrame, members: DataFrame, words: int, lanes: int, ra
     """(a, b): links between the classes ``members`` (fp, root, row) of one component whose shingles overlap by
     ``similarity``; ``texts`` (row, text) has the text of each class. A tile has so many rows and, on average, at most so
     many bytes of shingles."""
-    members = written(members.select("row", "fp", F.xxhash64("root").alias("key")), "near-members")  # narrow, and often small
-    texts = texts.join(members, "row").select("key", "fp", "text")
+    members = written(members.select("row", "fp", F.xxhash64("root").alias("key")), "near-members")
+    asked = written(members.select("row"), "near-asked")  # the narrowest table there is picks the texts, before any is sent
+    texts = texts.join(asked, "row", "left_semi").select("row", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shingles = [shingle_set(t.as_py(), words).astype("<u8").tobytes() for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(shingles, pa.binary())], names=["key", "fp", "shingles"])
+            shingles = [shingle_set(t.as_py(), words).astype("<u8").tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shingles, pa.binary())], names=["row", "shingles"])
 
-    entries = written(texts.mapInArrow(sets, "key long, fp binary, shingles binary"), "near-sets")
+    entries = texts.mapInArrow(sets, "row long, shingles binary").join(members, "row").select("key", "fp", "shingles")
+    entries = written(entries, "near-sets")
     weight = F.greatest(F.count("*") / tile, F.sum(F.length("shingles").cast("long")) / tile_bytes) * tile
     sizes = entries.groupBy("key").agg(F.count("*").alias("n"), weight.alias("size"))
     return _tiled_links(entries, written(sizes, "near-sizes"), lanes, radius, tile, similarity)
