@@ -643,6 +643,17 @@ def test_bpe_digests(spark, docs, rows, empty):
     assert bpe.encode_documents(empty, RANKS, P.PATTERN).count() == 0
 
 
+def test_encoders_take_repeated_and_missing_ids(spark):
+    frame = repeated(spark)
+    rows = [(r["doc_id"], r["text"]) for r in frame.collect()]
+    encoded = sorted(((r["doc_id"], r["decoded_sha256"]) for r in bpe.encode_documents(frame, RANKS, P.PATTERN).collect()), key=str)
+    assert encoded == sorted(((d, hashlib.sha256(t.encode()).hexdigest()) for d, t in rows), key=str)
+    packed = packing.pack(frame, BYTE, 8).collect()
+    assert sorted(str(r["doc_id"]) for r in packed if r["piece"] == 0) == sorted(str(d) for d, _ in rows)
+    places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in packed)
+    assert len({p[:2] for p in places}) == len(places) and all(a[1] + a[2] == b[1] for a, b in itertools.pairwise(places) if a[0] == b[0])
+
+
 # --- piecewise hashing
 
 
@@ -881,6 +892,41 @@ def test_queries_are_named():
     assert set(queries.SQL) <= set(queries.QUERIES)
 
 
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Every stage of a small corpus against plain Python: the sample, one of equal texts, one of near copies, whole packing."""
+    import corpus_pipeline
+
+    draw, rows = random.Random(30), []
+    good, bad = ([f"{c}{k}" for k in range(400)] for c in "gb")
+    for k in range(60):
+        rows.append(" ".join(draw.choices(good if k % 3 else bad, k=draw.choice([3, 30, 300]))))
+    for text in rows[:20]:
+        rows += [text, text.upper(), text.replace(" ", " and more ", 1), text + " tail"]
+    rows += [None, "", " ", "x" * 5000]
+    ids = draw.sample(range(1000), len(rows))
+    docs = list(zip(ids, rows, strict=True))
+    labels = [(d, int("g" in (t or "").lower()[:1]), 0) for d, t in docs[:50]]
+    spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in docs], "doc_id long, text string, lang string, source string, n_chars long").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = [docs[n] for n in plain_sample(docs, [x[:2] for x in labels])]
+    assert len(kept) < len(docs)
+    groups = {}
+    for d, t in kept:
+        groups.setdefault((t or "").lower(), []).append((d, t))
+    kept = sorted(max(g) if len(g) > 1 else g[0] for g in groups.values())
+    sets, root = [plain_shingles(t) for _, t in kept], list(range(len(kept)))
+    linked = [[j for j in range(len(kept)) if i == j or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])] for i in range(len(kept))]
+    while (merged := [min(root[j] for j in linked[i]) for i in range(len(kept))]) != root:
+        root = merged
+    kept = [kept[k] for k in sorted(set(root))]
+    library = Tokenizer.from_file(BYTE)
+    sizes = {d: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for d, t in kept}
+    found = {}
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        found[r["doc_id"]] = found.get(r["doc_id"], 0) + r["length"]
+    assert found == sizes
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

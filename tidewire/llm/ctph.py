@@ -9,7 +9,8 @@ sizes in common; 0 without one. Equal texts have equal fingerprints.
 
 Defined results: a null or empty text has two empty signatures, and is like another such text by 1 and like any
 other by 0; a signature has a character for every chunk, however many a repetitive text has; a text is hashed in
-parts of bounded size; repeated rows follow each other; an empty table gives no rows; one row alone is its own next document; null doc_ids come last; other columns are not read.
+parts of bounded size; repeated rows follow each other, and rows that share a doc_id come in the order of
+their texts' XXH64; an empty table gives no rows; one row alone is its own next document; null doc_ids come last; other columns are not read.
 """
 
 from __future__ import annotations
