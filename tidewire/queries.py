@@ -285,9 +285,11 @@ def poll_cycle_all(spark, sf):
 
 @query(_STATES + "select max(id) as last_key, (select epoch_ms(updated_at) from known order by updated_at desc, id desc limit 1) as last_ms, (select id from known order by updated_at desc, id desc limit 1) as last_update_key from known")
 def snapshot_cursor_argmax(spark, sf):
+    """The cursors behind all rows of a snapshot."""
     known, _, _ = _states(spark, sf)
-    top = F.max(F.struct("updated_at", "id"))
-    return known.agg(F.max("id").alias("last_key"), top.alias("top")).select("last_key", F.col("top.updated_at").alias("t"), F.col("top.id").alias("last_update_key")).select("last_key", epoch_ms("t").alias("last_ms"), "last_update_key")
+    c = cl.initial_cursor(known, "id", "updated_at")
+    row = spark.createDataFrame([(c.last_key, c.last_time, c.last_update_key)], "last_key long, t timestamp_ntz, last_update_key long")
+    return row.select("last_key", epoch_ms("t").alias("last_ms"), "last_update_key")
 
 
 @query(_STATES + "select coalesce(c.id, k.id) as id, case when k.id is null then 'c' when c.id is null then 'd' else 'u' end as _op, k.status as old_status, c.status from known k full join current c on c.id = k.id where k.id is null or c.id is null or k.status is distinct from c.status")
@@ -331,10 +333,10 @@ def wal_json_parse(spark, sf):
     return found.select("pos", "type", F.col("schema").alias("schema_name"), F.col("table").alias("table_name"), envelopes.value_of(F.col("before"), "id").alias("old_id"), envelopes.value_of(F.col("after"), "kind").alias("new_kind"))
 
 
-@query("select doc_id, md5(text) as text_md5, length(text) as n_chars from documents where text is not null")
+@query("select doc_id, md5(text) as text_md5, length(text) as n_chars from documents")
 def wal_json_columns_zip(spark, sf):
-    """Whole texts, with their quotes, commas and brackets, through records and back."""
-    docs = table(spark, sf, "documents").filter("text is not null")
+    """Whole texts, with their quotes, commas and brackets, through records and back; a null text is a null value."""
+    docs = table(spark, sf, "documents")
     quoted = F.concat(F.lit("'"), F.replace("text", F.lit("'"), F.lit("''")), F.lit("'"))
     data = F.to_json(F.struct(F.lit("public.documents").alias("table_name"), F.lit("INSERT").alias("op_type"), F.array(F.lit("doc_id"), F.lit("text")).alias("columns_name"), F.array(F.lit("bigint"), F.lit("text")).alias("columns_type"), F.array(F.col("doc_id").cast("string"), quoted).alias("columns_val")))
     log = docs.select(F.lit("main").alias("slot"), F.col("doc_id").alias("pos"), F.lit("0/1").alias("lsn"), F.lit(1).cast("long").alias("xid"), data.alias("data"))

@@ -44,7 +44,7 @@ class FileTransport:
     goes on where the last one ended does not start from the front again."""
 
     def __init__(self, folder: str):
-        self.folder, self.acked = Path(folder), ""
+        self.folder, self.acked = Path(folder.removeprefix("file://").removeprefix("file:")), ""
         self._mark: tuple[int, str, int] = (0, "", 0)  # rows behind the position, and the file and byte behind the last of them
 
     def open(self, start_lsn: str | None = None) -> None:

@@ -54,7 +54,7 @@ class LogReader(DataSourceReader):
         self.path, self.slot = path, slot
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(str(p)) for p in sorted(FileTransport(self.path).folder.glob("*.jsonl"))] or [InputPartition("")]
+        return [InputPartition(str(p)) for p in FileTransport(self.path).files()] or [InputPartition("")]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         if partition.value:
