@@ -22,7 +22,7 @@ _OTHER = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\
 _WORD = re.compile("( ?)([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]?)")
 
 #: Longest unit that is remembered, and how many units each of the two generations holds.
-LONGEST, HELD = 48, 300_000
+LONGEST, HELD = 48, 500_000
 
 
 def _uneven(text: str) -> bool:
