@@ -440,6 +440,35 @@ def test_exact_links_hold_at_any_tile(spark, tile, tile_bytes):
     assert len({roots.get(f, f) for f in fps}) > 1
 
 
+@pytest.mark.parametrize("tile", [1024, 6])
+def test_long_chains_are_compared_by_their_keys(spark, monkeypatch, tile):
+    """A chain of texts, each near to the next one alone, beside a dense group and pairs; tiles far smaller than the chain."""
+    draw, texts = random.Random(19), []
+    own = [f"w{draw.randrange(10**6)}" for _ in range(100)]
+    for _ in range(150):  # every step moves eight words on
+        texts.append(" ".join(own[:100]))
+        own = [*own[8:], *(f"w{draw.randrange(10**6)}" for _ in range(8))]
+    dense = [f"d{draw.randrange(10**6)}" for _ in range(200)]
+    texts += [" ".join([*dense[:k], "x", *dense[k:]]) for k in range(0, 150, 10)]
+    sets, root = [plain_shingles(t) for t in texts], list(range(len(texts)))
+    linked = [[j for j in range(len(texts)) if i == j or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])] for i in range(len(texts))]
+    while (merged := [min(root[j] for j in linked[i]) for i in range(len(texts))]) != root:
+        root = merged
+    used = []
+    plain = simhash._buckets
+
+    def small(members, entries, _):
+        found = plain(members, entries, tile)
+        used.append((members.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(simhash, "_buckets", small)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.one_of_each_group(frame).collect()) == sorted(set(root))
+    (members, rows), = used
+    assert rows == members if tile == 1024 else rows > members
+
+
 def test_overlap_reaches_its_bound():
     draw = np.random.default_rng(5)
     for _ in range(300):

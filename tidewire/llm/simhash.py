@@ -25,7 +25,8 @@ bit of each makes the planes. Equal sets make a class.
 
 Exact check. Components that the sketches give are candidates only: within each of them the classes are compared once
 more, now with their sets of shingles beside the planes, and a link holds if the sets' overlap reaches ``similarity``.
-Each class goes there once (in tiles, where a component is large).
+Each class goes there once (in tiles, where a component is large), or, in a large component whose keys give fewer pairs, once
+for each of its keys.
 
 Defined results: a null, empty or blank text has the fingerprint zero (in ``one_of_each_group``, the empty set) and is
 linked like any other; a text of
@@ -47,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .mph import mix
-from .shared import own_columns, spare_name, whole_text, with_sums, written
+from .shared import join_small, own_columns, spare_name, whole_text, with_sums, written
 
 SEED = 42
 #: Rows of a bucket that one task compares with each other.
@@ -327,12 +328,34 @@ def key_links(entries: DataFrame, lanes: int, radius: int, tile: int = TILE) ->
     return _tiled_links(entries, sizes, lanes, radius, tile)
 
 
-def exact_links(texts: DataFrame, members: DataFrame, words: int, lanes: int, radius: int, similarity: float, tile: int = EXACT_TILE, tile_bytes: int = EXACT_BYTES) -> DataFrame:
+def _buckets(members: DataFrame, entries: DataFrame | None, tile: int) -> DataFrame:
+    """(row, fp, key): what is to be compared, for ``members`` (row, fp, root). A component is one bucket; one of more than ``tile``
+    classes is compared by the keys of ``entries`` (key, fp) instead, if those buckets have fewer pairs: a long chain."""
+    members = written(members.select("row", "fp", "root"), "near-members")
+    whole = members.select("row", "fp", F.xxhash64("root").alias("key"))
+    n = written(members.groupBy("root").agg(F.count("*").alias("n"), F.count("*").alias("size")), "near-roots")
+    if entries is None or n.filter(F.col("n") > tile).isEmpty():
+        return whole
+    large = with_sums(members, n, "root").filter(F.col("size") > tile).select("row", "fp", "root", "size")
+    bucket = F.xxhash64("root", "key").alias("bucket")
+    held = written(entries.join(large, "fp").select("row", "fp", "root", "size", bucket), "near-keys")
+    sums = written(held.groupBy("bucket").agg(F.count("*").alias("n"), F.count("*").alias("m"), F.first("root").alias("of"), F.first("size").alias("all")), "near-key-sums")
+    pairs = F.sum(F.col("m").cast("double") * (F.col("m") - 1))
+    fewer = written(sums.groupBy(F.col("of").alias("root")).agg(pairs.alias("pairs"), F.first("all").alias("all")).filter("pairs < cast(all as double) * (all - 1)").select("root"), "near-chains")
+    by_key = with_sums(join_small(held, fewer, ["root"], "left_semi"), sums.select("bucket", "n", "m"), "bucket").filter("m > 1")
+    by_root = join_small(members, fewer, ["root"], "left_anti").select("row", "fp", F.xxhash64("root").alias("key"))
+    return by_root.unionByName(by_key.select("row", "fp", F.col("bucket").alias("key")))
+
+
+def exact_links(
+    texts: DataFrame, members: DataFrame, words: int, lanes: int, radius: int, similarity: float, tile: int = EXACT_TILE, tile_bytes: int = EXACT_BYTES,
+    entries: DataFrame | None = None,
+) -> DataFrame:
     """(a, b): links between the classes ``members`` (fp, root, row) of one component whose shingles overlap by
-    ``similarity``; ``texts`` (row, text) has the text of each class. A tile has so many rows and, on average, at most so
-    many bytes of shingles."""
-    members = written(members.select("row", "fp", F.xxhash64("root").alias("key")), "near-members")
-    asked = written(members.select("row"), "near-asked")  # the narrowest table there is picks the texts, before any is sent
+    ``similarity``; ``texts`` (row, text) has the text of each class, ``entries`` (key, fp) their keys. A tile has so many rows
+    and, on average, at most so many bytes of shingles."""
+    members = written(_buckets(members, entries, tile), "near-buckets")
+    asked = written(members.select("row").distinct(), "near-asked")  # the narrowest table there is picks the texts, before any is sent
     texts = texts.join(asked, "row", "left_semi").select("row", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -465,10 +488,12 @@ def one_of_each_group(
     id_ = F.struct(F.isnull("doc_id").alias("no_id"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("digest"), F.col(number).alias("row"))
     found = written(sketches(rows.select(id_.alias("id"), whole_text().alias("text")), words, lanes, bands, width), "sketches")
     classes = found.groupBy("fp").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"), F.first("keys").alias("keys"))
-    links = lambda own: key_links(_shared_keys(own), lanes, radius)
+    classes = written(classes, "classes")
+    entries = _shared_keys(classes)
+    links = lambda _: key_links(entries, lanes, radius)
     texts = rows.select(F.col(number).alias("row"), whole_text().alias("text"))
-    check = lambda linked: exact_links(texts, linked.select("fp", "root", F.col("class_id.row").alias("row")), words, lanes, radius, similarity)
-    grouped = near_components(written(classes, "classes"), links, check)
+    check = lambda linked: exact_links(texts, linked.select("fp", "root", F.col("class_id.row").alias("row")), words, lanes, radius, similarity, entries=entries)
+    grouped = near_components(classes, links, check)
     near = written(grouped.filter((F.col("component_id") != F.col("class_id")) | (F.col("class_size") > 1)).select("fp", F.col("component_id.row").alias("kept"), F.col("class_size").alias("n")), "near-classes")
     told = with_sums(found.select("fp", F.col("id.row").alias("row")), near, "fp").filter("kept is not null and row <> kept")
     dropped = written(told.select(F.col("row").alias(number)), "near-rows")
