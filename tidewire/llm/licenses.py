@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,6 +82,8 @@ TEMPLATES: dict[str, list[str]] = {
     "Zlib": ["SPDX-License-Identifier: Zlib", "This software is provided 'as-is', without any express or implied warranty."],
 }
 
+#: Letters from which on a bigram is long.
+_LONG = 10
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Where sentences end; both engines read these alike. The mark between sentences.
 _BLANK, _END, _MARK = r"[\n:][ \t\r]*\n", r"""([.!?])[ \t\r\n#*/;-]+([A-Z("'\[])""", "\x01"
@@ -102,10 +105,12 @@ def _sizes(n: int, t: float) -> tuple[int, int]:
 
 
 def sure_bigrams(known: list[tuple[str, list[str]]], threshold: float) -> list[str]:
-    """Of each template so many bigrams that a match has one of them; the longest ones, as they are rare in prose."""
-    some: set[str] = set()
+    """Of each template so many bigrams that a match has one of them: long ones that many templates share, so that there are
+    few in all, then the longest, as those are rare in prose."""
+    shared, some = Counter(b for _, own in known for b in own if len(b) >= _LONG), set()
     for _, own in known:
-        some.update(sorted(own, key=lambda b: (-len(b), b))[: math.floor(len(own) - threshold * len(own) / (2 - threshold) + 1e-9) + 1])
+        wanted = math.floor(len(own) - threshold * len(own) / (2 - threshold) + 1e-9) + 1
+        some.update(sorted(own, key=lambda b: (-shared[b], -len(b), b))[:wanted])
     return sorted(some)
 
 
