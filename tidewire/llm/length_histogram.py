@@ -22,7 +22,7 @@ from .memo import encoder, texts_of, vocabulary_size
 from .shared import whole_text, written
 
 #: Lengths in a block of the suffix sums.
-BLOCK = 1024
+BLOCK = 64
 
 
 def lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
