@@ -390,6 +390,40 @@ def test_change_stream_over_files(spark, tmp_path):
     assert [e["pkValues"] for e in events] == [[str(k)] for k in (0, 1, 2, 3, 4, 11, 12)] and "lsn" not in events[0] and events[5]["lsn"] == "0/11"
 
 
+def test_readers_share_an_exported_snapshot(spark, tmp_path, monkeypatch):
+    import sqlite3
+
+    import standin
+
+    from tidewire.functions.records import parse_records
+    from tidewire.sources import exported
+
+    monkeypatch.setenv("TIDEWIRE_STANDIN", str(tmp_path))
+    db = sqlite3.connect(tmp_path / "db")
+    db.execute("create table t(id integer, v text)")
+    db.executemany("insert into t values (?, ?)", [(k, None if k == 3 else f"v'{k}") for k in range(1, 8)])
+    db.commit()
+    for server, csn in ((standin.best, 41), (standin.second, 41), (standin.plain, -1)):
+        with exported.exported(server, 7) as found:
+            assert found == exported.Exported("00A-1", csn)
+    with pytest.raises(RuntimeError, match="group 7"), exported.exported(standin.busy, 7):
+        pass
+    calls = (tmp_path / "calls").read_text().splitlines()
+    assert calls[0] == "SELECT pg_try_advisory_lock(7)" and calls[-2:] == ["ROLLBACK", "CLOSE"] and calls.count("SELECT pg_advisory_unlock(7)") == 3
+    options = {"connect": "standin:best", "schema": "public", "table": "t", "key": "id", "columns": "id:bigint,v:text", "splits": "3", "low": "1", "high": "7"}
+    reader = exported._SnapshotReader(options | {"snapshot": "00A-1"})
+    parts = reader.partitions()
+    assert [(p.low, p.high) for p in parts] == [(1, 2), (3, 4), (5, 7)]
+    rows = [r for p in parts for r in reader.read(p)]
+    assert [r[1] for r in rows] == [0, 1, 1 << 40, (1 << 40) + 1, 2 << 40, (2 << 40) + 1, (2 << 40) + 2] and {r[3] for r in rows} == {-1}
+    parsed = parse_records(spark.createDataFrame(rows, exported.SCHEMA)).orderBy("pos").collect()
+    assert [[c["value"] for c in r["after"]] for r in parsed] == [[str(k), None if k == 3 else f"v'{k}"] for k in range(1, 8)]
+    with pytest.raises(RuntimeError, match="outside"):
+        list(exported._SnapshotReader(options).read(parts[0]))
+    with pytest.raises(OptionError):
+        exported._SnapshotReader({"connect": "standin:best"})
+
+
 def test_polling_keeps_its_state(spark, tmp_path):
     from pyspark.sql import functions as F
 

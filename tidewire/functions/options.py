@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+from collections.abc import Callable
 from dataclasses import dataclass, field, fields
 from typing import Any
 
@@ -37,6 +39,14 @@ class OptionError(ValueError):
     """An option that is missing, unknown or out of bounds."""
 
 
+def named_function(text: str) -> Callable:
+    """A function named as ``module:function``."""
+    module, _, name = text.partition(":")
+    if not name:
+        raise OptionError(f"a function is named as module:function, not {text!r}")
+    return getattr(importlib.import_module(module), name)
+
+
 def _from(cls: type, options: dict[str, Any]) -> Any:
     by_name = {_NAMES.get(f.name, f.name.replace("_", "-")).lower(): f for f in fields(cls)}
     given = {k.lower(): v for k, v in options.items()}

@@ -7,7 +7,7 @@ that the server sends. The log is read by push if that is given and opens, else
 
 The slot is prepared before the snapshot, so nothing falls between the two. The snapshot goes table by table and page by page
 behind the last key, through the driver, with its place in the stream's offset; a large table's snapshot is better read as a
-batch by ranges (``plans.snapshots``), and the stream started without one.
+batch by ranges (``plans.snapshots``, or ``sources.exported`` where all readers see one state), and the stream started without one.
 
 Offsets hold how far the log is done (``lsn``: the last commit up to which every transaction has ended) and how many rows were
 read behind it. Rows of open transactions are kept in the state of ``reassemble_stream``, in Spark's checkpoint. ``commit``
@@ -17,7 +17,6 @@ stands where an offset says. After a lost connection the tables must have the sa
 
 from __future__ import annotations
 
-import importlib
 import itertools
 import re
 from collections.abc import Callable, Iterator
@@ -31,16 +30,15 @@ from ..functions import envelopes
 from ..functions.dialect import slot_options
 from ..functions.lsn import lsn_to_int
 from ..functions.naming import qualified, quote, table_matches
-from ..functions.options import CdcOptions, OptionError
+from ..functions.options import CdcOptions, OptionError, named_function
 from ..functions.records import json_record, parse_records
 from ..operators.transactions import is_data
 from ..plans.snapshots import single_key
+from ..sources.exported import SNAPSHOT_XID
 from ..sources.transport import FileTransport, PeekTransport, PushTransport, Row, Transport, discover_tables, first_that_opens, with_reconnect
 from .log_source import MOST_ROWS, Reassembly, reassemble_stream
 
 SCHEMA = "slot string, pos long, lsn string, xid long, data string"
-#: The transaction number of a snapshot's rows.
-SNAPSHOT_XID = -1
 _OWN = ("connect", "push", "path", "maxrowsperbatch")
 
 _COLUMNS = "SELECT column_name, data_type FROM information_schema.columns WHERE table_schema = ? AND table_name = ? ORDER BY ordinal_position"
@@ -51,14 +49,6 @@ _KEYS = (
 )
 
 
-def named_function(text: str) -> Callable:
-    """``module:function``."""
-    module, _, name = text.partition(":")
-    if not name:
-        raise OptionError(f"a function is named as module:function, not {text!r}")
-    return getattr(importlib.import_module(module), name)
-
-
 class Tables:
     """The captured tables through a DB-API connection: names, columns, keys, and pages of rows."""
 
@@ -241,18 +231,19 @@ def parsed_options(options: dict[str, str]) -> tuple[CdcOptions, dict[str, str]]
     return found, own
 
 
-def change_stream(spark: SparkSession, options: dict[str, str], keys: list[str] = ()) -> DataFrame:
+def change_stream(spark: SparkSession, options: dict[str, str], keys: list[str] = (), snapshot_csn: int = -1) -> DataFrame:
     """The changes of the tables that the options name, in the order of their transactions. With ``output.format`` raw: slot, txn,
     pos, lsn, xid, commit_lsn, commit_csn, op, schema, table, before, after; with json: slot, txn, pos and ``event``.
 
     ``op`` is r for a snapshot's rows. The snapshot itself was read behind the slot's beginning, so a change may be in both;
-    both give the same row by key. ``keys`` are the names of the key columns that two of the JSON forms hold.
+    both give the same row by key; where the snapshot was read elsewhere and its number is known, ``snapshot_csn`` leaves out
+    what it holds. ``keys`` are the names of the key columns that two of the JSON forms hold.
     """
     found, _ = parsed_options(options)
     spark.dataSource.register(ChangeSource)
     changes = parse_records(spark.readStream.format("tidewire-changes").options(**options).load())
     meant = table_matches(F.col("schema"), F.col("table"), found.schema, found.table_name)
-    done = reassemble_stream(changes.filter(~is_data() | meant))
+    done = reassemble_stream(changes.filter(~is_data() | meant), snapshot_csn)
     kept = ["slot", "txn", "pos", "lsn", "xid", "commit_lsn", "commit_csn"]
     rows = parse_records(done, "record", kept)
     op = F.when(F.col("xid") == SNAPSHOT_XID, "r").when(F.col("type") == "INSERT", "c").when(F.col("type") == "UPDATE", "u").otherwise("d")
