@@ -8,6 +8,7 @@ a restart goes on behind the last batch that was committed, and ``commit`` passe
 from __future__ import annotations
 
 import json
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -95,29 +96,28 @@ class Reassembly:
     """
 
     def __init__(self, snapshot_csn: int = -1, start: str | None = None, queue: list[dict] | None = None, last_lsn: str | None = None):
-        self.snapshot_csn, self.start, self.queue, self.last_lsn = snapshot_csn, start, queue or [], last_lsn or start
-
-    def _open(self, xid: int) -> dict | None:
-        return next((t for t in self.queue if t["xid"] == xid and t["commit"] is None), None)
+        self.snapshot_csn, self.start, self.queue, self.last_lsn = snapshot_csn, start, deque(queue or []), last_lsn or start
+        self.open = {t["xid"]: t for t in self.queue if t["commit"] is None}
 
     def add(self, pos: int, lsn: str, xid: int, csn: int, type_: str, record: str) -> Iterator[tuple]:
         """Takes a record, and gives what it releases: (txn, pos, lsn, xid, commit_lsn, commit_csn, record)."""
         if type_ == "BEGIN":
-            if self._open(xid) is None:
-                self.queue.append({"xid": xid, "txn": pos, "commit": None, "csn": 0, "rows": []})
+            if xid not in self.open:
+                self.open[xid] = {"xid": xid, "txn": pos, "commit": None, "csn": 0, "rows": []}
+                self.queue.append(self.open[xid])
         elif type_ == "COMMIT":
-            if (found := self._open(xid)) is not None:
+            if (found := self.open.pop(xid, None)) is not None:
                 found["commit"], found["csn"] = lsn, csn
             elif not self.queue:
                 self._done(lsn)
         elif type_ in ("INSERT", "UPDATE", "DELETE"):
-            found = self._open(xid)
+            found = self.open.get(xid)
             if found is None:
                 found = {"xid": xid, "txn": pos, "commit": lsn, "csn": 0, "rows": []}
                 self.queue.append(found)
             found["rows"].append([pos, lsn, record])
         while self.queue and self.queue[0]["commit"] is not None:
-            t = self.queue.pop(0)
+            t = self.queue.popleft()
             known = 0 <= self.snapshot_csn and 0 < t["csn"] <= self.snapshot_csn
             if not known and not _at_or_before(t["commit"], self.start):
                 for at, row_lsn, row in t["rows"]:
@@ -136,8 +136,8 @@ def _at_or_before(lsn: str | None, other: str | None) -> bool:
 
 def reassemble_stream(changes: DataFrame, snapshot_csn: int = -1, last_lsn: str | None = None) -> DataFrame:
     """Released records of a streaming log of changes (slot, pos, lsn, xid, csn, type, and ``raw``, which comes out
-    as ``record``). State is kept for each slot and holds open transactions only; decoding before and formatting
-    after it are spread over all tasks."""
+    as ``record``). State is kept for each slot and holds open transactions only, as one value that each batch writes anew (2 GB
+    at most); decoding before and formatting after it are spread over all tasks."""
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held, last = state.get if state.exists else ("[]", last_lsn)
@@ -146,7 +146,7 @@ def reassemble_stream(changes: DataFrame, snapshot_csn: int = -1, last_lsn: str
         out = []
         for r in rows.itertuples(index=False):
             out += [(key[0], *x) for x in work.add(int(r.pos), r.lsn, int(r.xid), int(r.csn), r.type, r.raw)]
-        state.update((json.dumps(work.queue), work.last_lsn))
+        state.update((json.dumps(list(work.queue)), work.last_lsn))
         yield pd.DataFrame(out, columns=["slot", "txn", "pos", "lsn", "xid", "commit_lsn", "commit_csn", "record"])
 
     slim = changes.select("slot", "pos", "lsn", "xid", "csn", "type", "raw")
