@@ -76,13 +76,13 @@ def parse(spark, *data):
 
 
 def test_records(spark):
-    rows = parse(spark, "BEGIN 100", "COMMIT 100 (at 2024-01-15 10:30:00.089882+08) CSN 99243", "COMMIT 100 CSN zz", INSERT, DELETE, "INSERT: public.test [id[integer]:1]", "noise", "{broken", None, "", '{"a": 1}')
+    rows = parse(spark, "BEGIN 100", "COMMIT 100 (at 2025-03-02 04:05:06.7+00) CSN 4711", "COMMIT 100 CSN zz", INSERT, DELETE, "INSERT: public.goods [id[integer]:1]", "noise", "{broken", None, "", '{"a": 1}')
     assert [r["type"] for r in rows] == ["BEGIN", "COMMIT", "COMMIT", "INSERT", "DELETE", "INSERT", "UNKNOWN", "UNKNOWN", "UNKNOWN", "UNKNOWN", "UNKNOWN"]
-    assert [rows[1]["csn"], rows[2]["csn"]] == [99243, 0]
+    assert [rows[1]["csn"], rows[2]["csn"]] == [4711, 0]
     assert (rows[3]["schema"], rows[3]["table"], rows[3]["before"]) == ("public", "t", None)
     assert [tuple(c) for c in rows[3]["after"]] == [("id", 20, "1"), ("name", 1043, "it's, [a] {b} \"c\""), ("note", 25, None)]
     assert (rows[4]["schema"], rows[4]["table"], rows[4]["after"]) == ("s.x", "t", None) and [tuple(c) for c in rows[4]["before"]] == [("id", 20, "1")]
-    assert (rows[5]["schema"], rows[5]["table"], rows[5]["after"]) == ("public", "test", None)
+    assert (rows[5]["schema"], rows[5]["table"], rows[5]["after"]) == ("public", "goods", None)
 
 
 def test_ragged_records(spark):
