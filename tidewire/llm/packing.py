@@ -7,7 +7,9 @@ not depend on the number of documents:
 1. Dominance reduction after Martello and Toth. For a piece of length j let i be the longest other piece that
    fits beside it. If no two or more pieces fit into the room beside j with a sum above i, then {j, i} dominates
    every other sequence with j in it (whatever stood there could take i's place), and it is fixed for good.
-   This holds above all where i fills the room exactly, and where no two pieces fit beside j.
+   This holds above all where i fills the room exactly, and where no two pieces fit beside j. Otherwise, if no three
+   pieces fit beside j, let b be the longest piece that fits beside j and i. If the shorter one of any two pieces that fit beside
+   j is no longer than b, then {j, i, b} dominates (the longer one could take i's place and the shorter one b's).
 2. The shrunken instance is packed best-fit, longest first, again by whole classes of equal lengths.
 
 Each piece then gets its rank among the pieces of its length (counted per partition while encoding, so that no
@@ -20,7 +22,7 @@ repeated rows are packed each for itself; an empty table gives no rows; other co
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,6 +70,28 @@ _NAMES = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"]
 _ARROW = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
 
 
+def _dominating_third(left: dict[int, int], sizes: list[int], j: int, i: int, room: int) -> int:
+    """The length b such that {j, i, b} dominates every other sequence with j in it, or 0."""
+    own = lambda s: left.get(s, 0) - (s == j)
+    total = pieces_ = 0
+    for s in sizes:
+        n = min(own(s), 3 - pieces_)
+        total, pieces_ = total + n * s, pieces_ + n
+        if pieces_ == 3:
+            break
+    if pieces_ == 3 and total <= room:
+        return 0  # three pieces fit beside j
+    b = next((s for s in reversed(sizes) if s <= room - i and own(s) > (s == i)), 0)
+    above = 0
+    for y in reversed(sizes):  # the longest piece that has one at least as long beside it
+        if y > room or own(y) <= 0:
+            continue
+        if own(y) > 1 and 2 * y <= room or above and y + above <= room:
+            return b if y <= b else 0
+        above = y
+    return 0
+
+
 def reduce_by_dominance(left: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Takes the dominating sequences out of ``left`` (length to count), and returns them with their counts."""
     fixed: list[tuple[tuple[int, ...], int]] = []
@@ -86,8 +110,14 @@ def reduce_by_dominance(left: dict[int, int], capacity: int) -> list[tuple[tuple
             if not i:
                 fixed.append(((j,), left[j]))
                 left[j] = 0
-            elif two >> (i + 1) & ((1 << (room - i)) - 1):
-                break  # two or more pieces could fill more of the room than i does
+            elif two >> (i + 1) & ((1 << (room - i)) - 1):  # two or more pieces could fill more of the room than i does
+                if not (b := _dominating_third(left, sizes, j, i, room)):
+                    break
+                need = Counter((j, i, b))
+                n = min(left[s] // k for s, k in need.items())
+                fixed.append(((j, i, b), n))
+                for s, k in need.items():
+                    left[s] -= n * k
             else:
                 n = left[j] // 2 if i == j else min(left[j], left[i])
                 fixed.append(((j, i), n))
