@@ -50,3 +50,21 @@ def test_small_tables(spark, monkeypatch, at_most):
     monkeypatch.setattr(stage, "SMALL_ROWS", at_most)
     joined = stage.join_small(spark.range(5).withColumnRenamed("id", "k"), spark.createDataFrame([(1, "a")], "k long, v string"), ["k"])
     assert sorted((r["k"], r["v"] or "") for r in joined.collect()) == [(0, ""), (1, "a"), (2, ""), (3, ""), (4, "")]
+
+
+def test_tables_on_the_way_are_dropped(spark):
+    seen = []
+
+    def make():
+        seen.append(stage.written(spark.range(3), "inner"))
+        seen.append(stage.settled(spark, lambda: stage.written(seen[0].filter("id > 0"), "deeper"), "settled"))
+        return seen[1].withColumn("x", F.lit(1))
+
+    kept = stage.settled(spark, make, "kept")
+    assert kept.count() == 2 and not stage._SCOPES
+    for gone in seen:
+        with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST"):
+            gone.collect()
+    with pytest.raises(ZeroDivisionError):
+        stage.settled(spark, lambda: 1 / 0, "broken")
+    assert not stage._SCOPES

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +28,32 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[app]
 
 
+_SCOPES: list[list[str]] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; it goes when the driver's interpreter ends."""
+    """A new path in the shared folder; it goes when the scope that it was made in ends, or the driver's interpreter."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    atexit.register(_drop, spark, path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    else:
+        atexit.register(_drop, spark, path)
     return path
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The table that ``make`` gives, written; the tables that were written on the way to it are dropped."""
+    path = shared_path(spark, name)
+    _SCOPES.append([])
+    try:
+        df = make()
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    finally:
+        for old in _SCOPES.pop():
+            _drop(spark, old)
+
+
 def _drop(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
