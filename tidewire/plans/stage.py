@@ -5,7 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,17 +42,24 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are written in this block are dropped at its end."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            _drop(spark, path)
+
+
 def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
     """The table that ``make`` gives, written; the tables that were written on the way to it are dropped."""
     path = shared_path(spark, name)
-    _SCOPES.append([])
-    try:
+    with scratch(spark):
         df = make()
         df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-    finally:
-        for old in _SCOPES.pop():
-            _drop(spark, old)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _drop(spark: SparkSession, path: str) -> None:
