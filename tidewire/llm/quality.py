@@ -22,6 +22,7 @@ read, and ``keep_target`` hands them on.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .mph import mix
-from .shared import own_columns, spare_name, whole_text, written
+from .shared import scratch, whole_text, written
 
 BUCKETS, SAMPLE, SEED = 1 << 12, 20_000, 20240
 #: N-grams a bucket that the raw model lends to the target model, so that rare buckets weigh little.
@@ -124,7 +125,8 @@ def _weigh(ids: pa.Array, texts: pa.Array, ratio: np.ndarray, seed: int) -> list
     numbers = ids.fill_null(-1).to_numpy().astype(np.int64)
     draw = (mix(numbers.view(np.uint64) ^ np.uint64(seed), 9) >> np.uint64(12)).astype(np.float64)
     gumbel = -np.log(-np.log((draw + 0.5) / (1 << 52)))
-    return [pa.array(n), pa.array(total), pa.array(total + gumbel)]
+    # rounded, so that machines whose logarithms differ in the last bit agree
+    return [pa.array(n), pa.array(total), pa.array(np.round(total + gumbel, 9))]
 
 
 def weights(docs: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFrame:
@@ -149,14 +151,14 @@ def weight_of(ratios: np.ndarray, spark: SparkSession, seed: int = SEED) -> Colu
     return weigh(F.col("doc_id").cast("long"), whole_text())
 
 
-def top_k(rows: DataFrame, k: int, order: str = "key", bins: int = 4096, few: int = 10_000) -> DataFrame:
-    """The k rows with the largest ``order`` and those that tie with the last of them. The driver sees bin counts, and
+def kth_largest(rows: DataFrame, k: int, order: str = "key", bins: int = 4096, few: int = 10_000) -> float:
+    """The k-th largest ``order``; infinite where none or all of the rows are wanted. The driver sees bin counts, and
     at the end at most ``few`` keys, or the one key that fills a bin."""
     low, high, n = rows.agg(F.min(order), F.max(order), F.count("*")).first()
     if k >= n or low is None:
-        return rows
+        return -math.inf
     if k <= 0:
-        return rows.limit(0)
+        return math.inf
     above = 0  # rows above `high`
     while True:
         inside = rows.filter((F.col(order) >= low) & (F.col(order) <= high))
@@ -167,10 +169,10 @@ def top_k(rows: DataFrame, k: int, order: str = "key", bins: int = 4096, few: in
                         low = key
                         break
                     above += n
-            return rows.filter(F.col(order) >= low)
+            return low
         step = (high - low) / bins
         if step <= 0 or low + step == low:
-            return rows.filter(F.col(order) >= low)
+            return low
         bin_ = F.least(F.floor((F.col(order) - low) / step), F.lit(bins - 1)).alias("bin")
         found = inside.groupBy(bin_).agg(F.count("*").alias("n"), F.min(order).alias("low"), F.max(order).alias("high")).collect()  # at most `bins` rows
         for row in sorted(found, key=lambda r: -r["bin"]):
@@ -180,22 +182,28 @@ def top_k(rows: DataFrame, k: int, order: str = "key", bins: int = 4096, few: in
             above += row["n"]
 
 
-def _sampled(scored: DataFrame, share: float, log_weight: str, key: str) -> DataFrame:
-    """The rows with the largest keys, as many as are to be expected from the target."""
-    expected = F.least(F.lit(1.0), F.lit(share) * F.exp(F.least(F.col(log_weight), F.lit(50.0))))
-    return top_k(scored, round(scored.agg(F.coalesce(F.sum(expected), F.lit(0.0))).first()[0]), key)
+def top_k(rows: DataFrame, k: int, order: str = "key", bins: int = 4096, few: int = 10_000) -> DataFrame:
+    """The k rows with the largest ``order`` and those that tie with the last of them."""
+    return rows.filter(F.col(order) >= kth_largest(rows, k, order, bins, few))
+
+
+def _last_key(scored: DataFrame, share: float) -> float:
+    """The last key of the sample: of as many rows as are to be expected from the target."""
+    expected = F.least(F.lit(1.0), F.lit(share) * F.exp(F.least("log_weight", F.lit(50.0))))
+    return kth_largest(scored, round(scored.agg(F.coalesce(F.sum(expected), F.lit(0.0))).first()[0]))
 
 
 def resample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The sampled documents: doc_id, n_grams, log_weight, key."""
     ratios, share = log_ratios(docs, labels, sample)
-    return _sampled(written(weights(docs, ratios), "weights"), share, "log_weight", "key")
+    scored = written(weights(docs, ratios), "weights")
+    return scored.filter(F.col("key") >= _last_key(scored, share))
 
 
 def keep_target(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` without the rows that the sampling leaves out. Each row goes by its own weight, which stands in a column
-    beside its others until the sample is drawn, so no row is found again by its doc_id."""
+    """``docs`` without the rows that the sampling leaves out. Each row is weighed again where it stands and held against the
+    last key of the sample, so no row is found again by its doc_id, and none is sent or copied."""
     ratios, share = log_ratios(docs, labels, sample)
-    held = spare_name(docs, "weight")
-    scored = written(docs.select(*own_columns(docs), weight_of(ratios, docs.sparkSession).alias(held)), "weighted")
-    return _sampled(scored, share, f"{held}.log_weight", f"{held}.key").select(own_columns(docs))
+    with scratch(docs.sparkSession):
+        last = _last_key(written(weights(docs, ratios), "weights"), share)
+    return docs.filter(weight_of(ratios, docs.sparkSession)["key"] >= last)

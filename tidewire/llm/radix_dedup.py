@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import own_columns, spare_name, whole_text, written
+from .shared import own_columns, settled, spare_name, whole_text, written
 
 #: Bytes in the first digit, and how many times as many the next one has.
 FIRST, GROWTH = 64, 16
@@ -76,6 +76,9 @@ def keep_largest(docs: DataFrame) -> DataFrame:
     number = spare_name(docs, "row")
     rows = written(docs.select(*own_columns(docs), F.monotonically_increasing_id().alias(number)), "numbered-rows")
     id_ = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col(number).alias("row"))
-    found = _grouped(rows.select(id_.alias("id"), normalised().alias("text")), [])
-    dropped = found.filter(F.col("id")["row"] != F.col("keep_id")["row"]).select(F.col("id")["row"].alias(number))
-    return rows.join(written(dropped, "equal-rows"), number, "left_anti").select(own_columns(docs))
+
+    def dropped() -> DataFrame:
+        found = _grouped(rows.select(id_.alias("id"), normalised().alias("text")), [])
+        return found.filter(F.col("id")["row"] != F.col("keep_id")["row"]).select(F.col("id")["row"].alias(number))
+
+    return rows.join(settled(docs.sparkSession, dropped, "equal-rows"), number, "left_anti").select(own_columns(docs))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..plans.stage import join_small, own_columns, quoted, shared_path, spare_name, with_sums, written
+from ..plans.stage import join_small, own_columns, quoted, scratch, settled, shared_path, spare_name, with_sums, written
 
-__all__ = ["join_small", "own_columns", "quoted", "shared_path", "spare_name", "whole_text", "with_sums", "written"]
+__all__ = ["join_small", "own_columns", "quoted", "scratch", "settled", "shared_path", "spare_name", "whole_text", "with_sums", "written"]
 
 
 def whole_text(column: str = "text") -> Column:

@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .mph import mix
-from .shared import join_small, own_columns, spare_name, whole_text, with_sums, written
+from .shared import join_small, own_columns, settled, spare_name, whole_text, with_sums, written
 
 SEED = 42
 #: Rows of a bucket that one task compares with each other.
@@ -62,6 +62,8 @@ _CHUNK = 1 << 14
 _WORDS, _MARKED = 1 << 12, 1 << 22
 #: Shingles that are hashed at once for a sketch, and bytes of a set's digest.
 _HASHED, _DIGEST = 256, 16
+#: Texts that are sketched at once.
+_SKETCHED = 512
 
 
 def shingle_hashes(text: str, words: int) -> Iterator[np.ndarray]:
@@ -143,18 +145,18 @@ def sketches(docs: DataFrame, words: int, lanes: int, bands: int, width: int) ->
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sets = [shingle_set(t.as_py(), words) for t in batch.column(1)]
-            least = np.stack([least_hashes(s, 64 * lanes) for s in sets]).astype(np.uint64)
-            bits = np.packbits((mix(least, 4) & np.uint64(1)).astype(bool), axis=1)
-            fps = [b.tobytes() + _set_digest(s) for b, s in zip(bits, sets, strict=True)]
-            key = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(sets), bands))
-            for k in range(width):
-                key = mix(key ^ least[:, k : bands * width : width], 5)
-            keys = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary()), keys], names=["id", "fp", "keys"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, _SKETCHED):
+                batch = whole.slice(at, _SKETCHED)
+                sets = [shingle_set(t.as_py(), words) for t in batch.column(1)]
+                least = np.stack([least_hashes(s, 64 * lanes) for s in sets]).astype(np.uint64)
+                bits = np.packbits((mix(least, 4) & np.uint64(1)).astype(bool), axis=1)
+                fps = [b.tobytes() + _set_digest(s) for b, s in zip(bits, sets, strict=True)]
+                key = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(sets), bands))
+                for k in range(width):
+                    key = mix(key ^ least[:, k : bands * width : width], 5)
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary()), keys], names=["id", "fp", "keys"])
 
     return docs.select("id", "text").mapInArrow(run, f"id {kind}, fp binary, keys array<long>")
 
@@ -420,16 +422,23 @@ def _with_least(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root): the least node of each linked node's component."""
+    """(node, root): the least node of each linked node's component. A round's tables go with the next round's."""
+    spark = links.sparkSession
     edges = written(links.select("a", "b").filter("a <> b"), "links")
+
+    def large() -> DataFrame:
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        return _with_least(both).filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).filter("a <> b").distinct()
+
+    def small() -> DataFrame:
+        stars = written(large(), "large-stars")
+        down = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        turned = _with_least(down).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+        return turned.filter("a <> b").distinct()
+
     before = None
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _with_least(both).filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).filter("a <> b")
-        edges = written(large.distinct(), "large-stars")
-        down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        small = _with_least(down).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        edges = written(small.filter("a <> b").distinct(), "small-stars")
+        edges = settled(spark, small, "small-stars")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
             break
@@ -486,15 +495,19 @@ def one_of_each_group(
     number = spare_name(docs, "row")
     rows = written(docs.select(*own_columns(docs), F.monotonically_increasing_id().alias(number)), "numbered-rows")
     id_ = F.struct(F.isnull("doc_id").alias("no_id"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("digest"), F.col(number).alias("row"))
-    found = written(sketches(rows.select(id_.alias("id"), whole_text().alias("text")), words, lanes, bands, width), "sketches")
-    classes = found.groupBy("fp").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"), F.first("keys").alias("keys"))
-    classes = written(classes, "classes")
-    entries = _shared_keys(classes)
-    links = lambda _: key_links(entries, lanes, radius)
     texts = rows.select(F.col(number).alias("row"), whole_text().alias("text"))
-    check = lambda linked: exact_links(texts, linked.select("fp", "root", F.col("class_id.row").alias("row")), words, lanes, radius, similarity, entries=entries)
-    grouped = near_components(classes, links, check)
-    near = written(grouped.filter((F.col("component_id") != F.col("class_id")) | (F.col("class_size") > 1)).select("fp", F.col("component_id.row").alias("kept"), F.col("class_size").alias("n")), "near-classes")
-    told = with_sums(found.select("fp", F.col("id.row").alias("row")), near, "fp").filter("kept is not null and row <> kept")
-    dropped = written(told.select(F.col("row").alias(number)), "near-rows")
-    return rows.join(dropped, number, "left_anti").select(own_columns(docs))
+
+    def dropped() -> DataFrame:
+        found = written(sketches(rows.select(id_.alias("id"), whole_text().alias("text")), words, lanes, bands, width), "sketches")
+        classes = found.groupBy("fp").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"), F.first("keys").alias("keys"))
+        classes = written(classes, "classes")
+        entries = _shared_keys(classes)
+        links = lambda _: key_links(entries, lanes, radius)
+        check = lambda linked: exact_links(texts, linked.select("fp", "root", F.col("class_id.row").alias("row")), words, lanes, radius, similarity, entries=entries)
+        grouped = near_components(classes, links, check)
+        near = grouped.filter((F.col("component_id") != F.col("class_id")) | (F.col("class_size") > 1))
+        near = written(near.select("fp", F.col("component_id.row").alias("kept"), F.col("class_size").alias("n")), "near-classes")
+        told = with_sums(found.select("fp", F.col("id.row").alias("row")), near, "fp").filter("kept is not null and row <> kept")
+        return told.select(F.col("row").alias(number))
+
+    return rows.join(settled(docs.sparkSession, dropped, "near-rows"), number, "left_anti").select(own_columns(docs))
