@@ -20,6 +20,7 @@ from __future__ import annotations
 import itertools
 import re
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,8 +70,11 @@ class Tables:
         return discover_tables([(s, t) for s, t, *_ in self.rows(_TABLES)], self.options.schema, self.options.table_name)
 
     def columns(self) -> dict[str, list[str]]:
-        """What a table must still have after a lost connection."""
-        self.connection = None
+        """What a table must still have after a lost connection, by a new one."""
+        if self.connection is not None:
+            with suppress(Exception):  # it may be the one that was lost
+                self.connection.close()
+            self.connection = None
         return {f"{s}.{t}": [" ".join(map(str, c)) for c in self.rows(_COLUMNS, s, t)] for s, t in self.names()}
 
     def page(self, table: tuple[str, str], after: Any, size: int) -> tuple[list[str], Any]:
@@ -164,7 +168,8 @@ class ChangeReader(SimpleDataSourceStreamReader):
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         at = dict(start)
         if at["phase"] == "new":
-            lsn = self.transport.prepare_slot()
+            # without a snapshot a slot that is there already goes on where it stands
+            lsn = self.transport.prepare_slot() if self.options.snapshot_mode else "0/0"
             at = {"phase": "snapshot" if self.options.snapshot_mode else "log", "pos": 0, "lsn": lsn, "table": 0, "key": None, "after": 0}
         if at["phase"] == "snapshot":
             names = self.tables.names()
