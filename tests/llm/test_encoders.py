@@ -1,4 +1,5 @@
 import base64
+import json
 import random
 
 import numpy as np
@@ -24,11 +25,43 @@ def texts():
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_units_equal_the_library(name):
+def test_units_equal_the_library(monkeypatch, name):
     library = Tokenizer.from_file(P.path(name))
     encoder = memo.library_encoder(P.path(name), 4)
-    for text in texts():
-        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    expected = [library.encode(text, add_special_tokens=False).ids for text in texts()]
+    for text, ids in zip(texts(), expected, strict=True):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == ids, repr(text)
+    assert memo.rank_order_suffices(P.path(name))
+    for at_once, by_rank in ((1, False), (1, True), (500, True), (1 << 22, False), (1 << 22, True)):
+        monkeypatch.setattr(memo, "AT_ONCE", at_once)
+        fresh = memo.library_encoder(P.path(name), 2, by_rank)
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in fresh.encode_all(texts(), 2)] == expected
+    assert list(encoder.encode_all([], 4)) == [] and list(encoder.encode_all(["", "a", ""], 4)) == [b"", encoder.encode("a"), b""]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_by_rank_equal_the_library(name):
+    """Random words of any letters, and every word that is a token itself or two tokens."""
+    library, own, draw = Tokenizer.from_file(P.path(name)), memo.library_encoder(P.path(name), 4, True), random.Random(8)
+    tokens = [t.removesuffix("</w>").removeprefix("Ġ") for t in library.get_vocab()]
+    tokens = [t for t in tokens if t.isascii() and t.isalpha()]
+    some = ["".join(draw.choices("abcdeinorstzEéñßÜœ", k=draw.randrange(1, 20))) for _ in range(20_000)]
+    words = [*tokens, *(a + b for a, b in zip(draw.choices(tokens, k=20_000), draw.choices(tokens, k=20_000), strict=True)), *some]
+    text = " ".join(w + draw.choice(["", "", ",", "."]) for w in words)
+    (ids,) = own.encode_all([text], 4)
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_rank_order_may_not_suffice(tmp_path):
+    """A vocabulary whose listed merge of a token is not the one that ranks give, and one without a token for a byte."""
+    letters = memo._byte_letters()
+    merges = [["b", "c"], ["a", "b"], ["ab", "c"]]
+    vocabulary = {t: k for k, t in enumerate([*letters, *("".join(m) for m in merges)])}
+    for lacks, rows, good in (([], merges, False), ([], merges[1:] and [["a", "b"], ["ab", "c"]], True), (["z"], [["a", "b"]], False)):
+        parts = {"added_tokens": [], "normalizer": None, "pre_tokenizer": None, "model": {"vocab": {t: k for t, k in vocabulary.items() if t not in lacks}, "merges": rows}}
+        path = tmp_path / f"{len(rows)}{len(lacks)}.json"
+        path.write_text(json.dumps(parts))
+        assert memo.rank_order_suffices(str(path)) is good
 
 
 def test_memory_is_bounded():

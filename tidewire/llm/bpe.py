@@ -112,8 +112,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool =
         bpe = model(path, pattern)
         for batch in batches:
             rows = []
-            for text in texts_of(batch):
-                ids = bpe.encode(text)
+            for ids in bpe.units.encode_all(texts_of(batch), 4):
                 rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest(), ids if with_ids else None))
             if rows:
                 kinds = [pa.int64(), pa.string(), pa.string(), pa.binary()]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .memo import encoder, texts_of, vocabulary_size
+from .memo import encoder, rank_order_suffices, texts_of, vocabulary_size
 from .shared import whole_text, written
 
 #: Lengths in a block of the suffix sums.
@@ -28,11 +28,12 @@ BLOCK = 64
 def lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(length, documents): how many documents have that many tokens."""
     width = 2 if vocabulary_size(tokenizer) <= 1 << 16 else 4
+    by_rank = rank_order_suffices(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, counts = encoder(tokenizer, width).encode, Counter()
+        encode, counts = encoder(tokenizer, width, by_rank).encode_all, Counter()
         for batch in batches:
-            counts.update(len(encode(text)) // width for text in texts_of(batch))
+            counts.update(len(ids) // width for ids in encode(texts_of(batch), width))
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["length", "documents"])
 
     counted = docs.select(whole_text().alias("text")).mapInArrow(run, "length long, documents long")

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .memo import encoder, texts_of
+from .memo import encoder, rank_order_suffices, texts_of
 from .shared import whole_text, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
@@ -50,13 +50,15 @@ def cut(n_tokens: int, capacity: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
     """A row for each piece, with its partition and its rank there among the pieces of its length."""
 
+    by_rank = rank_order_suffices(tokenizer)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer, 4, by_rank).encode_all, np.array([end_id], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch), strict=True):
-                ids = memoryview(encode(text) + end)
+            for doc_id, found in zip(batch.column(0).to_pylist(), encode(texts_of(batch), 4), strict=True):
+                ids = memoryview(found + end)
                 for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     rows.append((doc_id, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), part, seen[length]))
                     seen[length] += 1

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .memo import encoder, texts_of, vocabulary_size
+from .memo import encoder, rank_order_suffices, texts_of, vocabulary_size
 from .mph import PerfectHash, mix
 from .shared import shared_path, whole_text, written
 
@@ -53,18 +53,19 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int, shard_documents: i
     folder = shared_path(spark, "token-store")
     n_shards = max(1, -(-docs.select("doc_id").count() // shard_documents))
     width = 2 if vocabulary_size(tokenizer) <= 1 << 16 else 4
+    by_rank = rank_order_suffices(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, task = encoder(tokenizer, width).encode, np.array([end_id], f"<u{width}").tobytes(), TaskContext.get()
+        encode, end, task = encoder(tokenizer, width, by_rank).encode_all, np.array([end_id], f"<u{width}").tobytes(), TaskContext.get()
         shard, out, keys, sizes, path = task.partitionId(), None, [], [], ""
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), texts_of(batch), strict=True):
+            for key, found in zip(batch.column(0).to_pylist(), encode(texts_of(batch), width), strict=True):
                 if out is None:
                     path = f"{folder}/shard-{shard:07d}-{task.taskAttemptId()}.ids"
                     files, at = pafs.FileSystem.from_uri(path)
                     files.create_dir(at.rpartition("/")[0], recursive=True)
                     out = files.open_output_stream(at, compression=None, buffer_size=1 << 20)
-                ids = encode(text) + end
+                ids = found + end
                 out.write(ids)
                 keys.append(key)
                 sizes.append(len(ids) // width)
