@@ -72,12 +72,14 @@ _LOGS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _once(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """A derived log is written once in a session; the queries read it as they would read one that a server wrote."""
+    """A derived log is written once in a session, in a file for each core by ranges of its places; the queries read it as they
+    would read one that a server wrote."""
 
     def get(spark: SparkSession, sf: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, sf, make.__name__)
         if key not in _LOGS:
-            _LOGS[key] = stage.written(make(spark, sf), make.__name__)
+            rows = make(spark, sf).repartitionByRange(spark.sparkContext.defaultParallelism, "pos")
+            _LOGS[key] = stage.written(rows, make.__name__)
         return _LOGS[key]
 
     return get
