@@ -234,6 +234,8 @@ def number_transactions(changes: DataFrame) -> DataFrame:
     """Binary changes with the xid of every record's transaction. They are written once; a window goes over a row for each
     batch that has a BEGIN or COMMIT, or begins inside a transaction, and tells what the batches before it left open."""
     rows = written(changes, "decoded")
+    if rows.filter("xid is null").isEmpty():  # every batch begins outside of any transaction
+        return rows
     markers = rows.filter(F.col("type").isin("BEGIN", "COMMIT"))
     ends = markers.groupBy("slot", "pos").agg(F.max_by(F.struct("type", "xid", "csn"), "k").alias("end")).withColumn("asks", F.lit(False))
     asks = rows.filter("xid is null").select("slot", "pos").distinct().select("slot", "pos", F.lit(None).cast(ends.schema["end"].dataType).alias("end"), F.lit(True).alias("asks"))
