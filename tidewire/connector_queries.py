@@ -48,6 +48,16 @@ def scan_jdbc(spark, sf):
     return _lower(jdbc.scan(spark, options).select("C_CUSTKEY", "C_NAME", "C_ACCTBAL"))
 
 
+@query("select s_suppkey, s_acctbal from supplier union all select s_suppkey, s_acctbal from supplier where s_suppkey <= 10")
+def table_by_options(spark, sf):
+    """A table named by options alone: rows appended twice, and read."""
+    options = {"url": f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", "table-name": "suppliers", "driver": _DRIVER, "sink.buffer-flush.max-rows": "50", "scan.fetch-size": "20"}
+    rows = _upper(table(spark, sf, "supplier").select("s_suppkey", "s_acctbal"))
+    jdbc.write_table(rows, options)
+    jdbc.write_table(rows.filter("S_SUPPKEY <= 10"), options)
+    return _lower(jdbc.read_table(spark, options))
+
+
 @query("select c_custkey, c_nationkey from customer where c_custkey > 100 and c_nationkey in (3, 7)")
 def scan_jdbc_pushdown(spark, sf):
     options = _embedded(_upper(table(spark, sf, "customer")), "customers")
@@ -110,10 +120,10 @@ def sink_changes(spark, sf):
     made = c.select(F.lit("c").alias("_op"), "id", "name", F.lit(1).alias("_pos"))
     changed = c.filter("id % 3 = 0").select(F.lit("u").alias("_op"), "id", F.lower("name").alias("name"), F.lit(2).alias("_pos"))
     gone = c.filter("id % 5 = 0").select(F.lit("d").alias("_op"), "id", "name", F.lit(3).alias("_pos"))
-    options = JdbcOptions(url="jdbc:postgresql://h/db", table_name="customers", parallelism=1)
+    options = {"url": "jdbc:postgresql://h/db", "table-name": "customers", "sink.parallelism": "1"}
     sql = "insert into customers(id, name) values (?, ?) on conflict(id) do update set name = excluded.name"
     for _ in range(2):
-        jdbc.write_changes(made.unionByName(changed).unionByName(gone), connect, options, ["id"], ["_pos"], upsert_sql=sql)
+        jdbc.write_table(made.unionByName(changed).unionByName(gone), options, ["id"], ["_pos"], connect, upsert_sql=sql)
     rows = sqlite3.connect(path).execute("select id, name from customers").fetchall()
     os.remove(path)
     return spark.createDataFrame(rows, "id long, name string")

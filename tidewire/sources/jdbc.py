@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dialect import Dialect, dialect_for
 from ..functions.options import JdbcOptions
-from ..operators.changelog import DELETED, latest
+from ..operators.changelog import CREATED, DELETED, latest
 
 
 #: Rows of a page where automatic commits are off and no size is given.
@@ -117,6 +117,24 @@ def write_changes(
     (last.repartition(options.parallelism, *keys) if options.parallelism else last).foreachPartition(run)
 
 
+def read_table(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """A table by its options, as users write them."""
+    return scan(spark, JdbcOptions.of(options))
+
+
+def write_table(df: DataFrame, options: dict[str, str], keys: Sequence[str] = (), order: Sequence[str] = (), connect: Connect | None = None, **more: Any) -> None:
+    """Writes to a table by its options: appends where it has no key, else upserts and deletes by key. Rows without an
+    ``_op`` are upserts."""
+    found = JdbcOptions.of(options)
+    if not keys:
+        append(df, found)
+        return
+    if connect is None:
+        raise ValueError("a table with a key is written through a connection")
+    changes = df if "_op" in df.columns else df.withColumn("_op", F.lit(CREATED))
+    write_changes(changes, connect, found, list(keys), list(order), **more)
+
+
 def stream_writer(connect: Connect, options: JdbcOptions, keys: list[str], order: list[str], **more: Any) -> Callable[[DataFrame, int], None]:
     """For ``writeStream.foreachBatch``."""
     return lambda batch, _: write_changes(batch, connect, options, keys, order, **more)
