@@ -421,10 +421,17 @@ def _with_least(edges: DataFrame) -> DataFrame:
     return with_sums(edges, written(edges.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("m")), "least"), "a")
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node points at one other, and none that is pointed at points itself: then the centres are the roots."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("points")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("points")))
+    return ends.groupBy("node").agg(F.sum("points").alias("n"), F.min("points").alias("least")).filter("n > 1 or (n = 1 and least = 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, root): the least node of each linked node's component. A round's tables go with the next round's."""
+    """(node, root): the least node of each linked node's component. A round's tables go with the next round's, and the
+    rounds end when stars are left."""
     spark = links.sparkSession
-    edges = written(links.select("a", "b").filter("a <> b"), "links")
+    edges = written(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
 
     def large() -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -434,16 +441,11 @@ def components(links: DataFrame) -> DataFrame:
         stars = written(large(), "large-stars")
         down = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         turned = _with_least(down).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        return turned.filter("a <> b").distinct()
+        return turned.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    before = None
-    while True:
+    while not _are_stars(edges):
         edges = settled(spark, small, "small-stars")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before or not now[0]:
-            break
-        before = now
-    return edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def _rooted(classes: DataFrame, roots: DataFrame) -> DataFrame:
