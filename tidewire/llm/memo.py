@@ -123,6 +123,11 @@ class UnitEncoder:
             found = self._odd(text)
             if found is None:
                 first, _, rest = text.replace("\n", " \n").partition(" ")
+                if len(rest) > AT_ONCE:
+                    yield from self._together(held, width)
+                    held, size = [], 0
+                    yield self._units[first] + b"".join(self._cut(rest, width))
+                    continue
                 held.append((self._units[first], rest, rest.count(" ") + 1 if rest else 0))
                 size += len(rest)
             else:
@@ -132,6 +137,15 @@ class UnitEncoder:
                 held, size = [], 0
         yield from self._together(held, width)
 
+    def _cut(self, rest: str, width: int) -> Iterator[bytes]:
+        """A long text, so many characters and the unit that they end in at a time."""
+        at = 0
+        while at < len(rest):
+            stop = rest.find(" ", at + AT_ONCE)
+            part = rest[at:] if stop < 0 else rest[at:stop]
+            yield from self._together([(b"", part, part.count(" ") + 1)], width)
+            at += len(part) + 1
+
     def _together(self, held: list[tuple[bytes | None, str, int]], width: int) -> Iterator[bytes]:
         rest = " ".join([r for _, r, n in held if n])
         if not rest:
