@@ -54,12 +54,12 @@ SEED = 42
 #: Rows of a bucket that one task compares with each other.
 TILE = 4096
 #: The same where the rows bring their shingles along.
-EXACT_TILE = 1024
+EXACT_TILE = 512
 #: Bytes of shingles that a tile's half may have on average.
-EXACT_BYTES = 32 << 20
+EXACT_BYTES = 8 << 20
 _CHUNK = 1 << 14
 #: Words of a plane, over all lags, that are compared at once; and shingles that are numbered at once.
-_WORDS, _MARKED = 1 << 12, 1 << 22
+_WORDS, _MARKED = 1 << 12, 1 << 20
 #: Shingles that are hashed at once for a sketch, and bytes of a set's digest.
 _HASHED, _DIGEST = 256, 16
 #: Texts that are sketched at once.
@@ -289,7 +289,10 @@ def overlaps_reach(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, similar
     used, place = np.unique(np.concatenate([a, b]), return_inverse=True)
     sizes = np.array([len(sets[i]) for i in used.tolist()], np.int64)
     if sizes.sum() > _MARKED:  # too many to number at once
-        return np.array([overlap_reaches(sets[i], sets[j], similarity) for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
+        if len(a) == 1:
+            return np.array([overlap_reaches(sets[int(a[0])], sets[int(b[0])], similarity)])
+        half = len(a) // 2
+        return np.concatenate([overlaps_reach(sets, a[:half], b[:half], similarity), overlaps_reach(sets, a[half:], b[half:], similarity)])
     _, number = np.unique(np.concatenate([sets[i] for i in used.tolist()]), return_inverse=True)
     numbers = np.split(number, np.cumsum(sizes)[:-1])
     left, right = place[: len(a)], place[len(a) :]
