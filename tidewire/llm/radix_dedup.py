@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import own_columns, settled, spare_name, whole_text, written
+from .shared import row_key, settled, whole_text, without_rows, written
 
 #: Bytes in the first digit, and how many times as many the next one has.
 FIRST, GROWTH = 64, 16
@@ -71,14 +71,14 @@ def keep_largest(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts: the one with the largest doc_id, and one of several
     with that doc_id. All columns stay as they are.
 
-    The rows are numbered once, in a written table; the rounds carry numbers and texts alone, and the rows to drop are
-    found again by their numbers."""
-    number = spare_name(docs, "row")
-    rows = written(docs.select(*own_columns(docs), F.monotonically_increasing_id().alias(number)), "numbered-rows")
-    id_ = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col(number).alias("row"))
+    The rounds carry texts and row keys alone. A row that goes is found again by its key (doc_id and 128 bits of hashes of its
+    text, see ``row_key``), in one join with a narrow table."""
+    key = row_key()
+    largest = F.struct((~key["no_id"]).alias("has_id"), key["doc_id"].alias("doc_id"), key["h"].alias("h"), key["g"].alias("g"))
 
-    def dropped() -> DataFrame:
-        found = _grouped(rows.select(id_.alias("id"), normalised().alias("text")), [])
-        return found.filter(F.col("id")["row"] != F.col("keep_id")["row"]).select(F.col("id")["row"].alias(number))
+    def told() -> DataFrame:
+        found = _grouped(docs.select(largest.alias("id"), normalised().alias("text")), []).filter("group_size > 1")
+        rows = found.groupBy("id").agg(F.count("*").alias("n"), F.max(F.col("id") == F.col("keep_id")).alias("kept"))
+        return rows.filter("n > 1 or not kept")
 
-    return rows.join(settled(docs.sparkSession, dropped, "equal-rows"), number, "left_anti").select(own_columns(docs))
+    return without_rows(docs, settled(docs.sparkSession, told, "equal-rows"), largest)

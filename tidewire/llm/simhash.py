@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .mph import mix
-from .shared import join_small, own_columns, settled, spare_name, whole_text, with_sums, written
+from .shared import join_small, row_key, settled, whole_text, with_sums, without_rows, written
 
 SEED = 42
 #: Rows of a bucket that one task compares with each other.
@@ -361,14 +361,15 @@ def exact_links(
     and, on average, at most so many bytes of shingles."""
     members = written(_buckets(members, entries, tile), "near-buckets")
     asked = written(members.select("row").distinct(), "near-asked")  # the narrowest table there is picks the texts, before any is sent
-    texts = texts.join(asked, "row", "left_semi").select("row", "text")
+    texts = texts.join(asked, "row", "left_semi").select("row", "text").dropDuplicates(["row"])
+    kind = texts.schema["row"].dataType.simpleString()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shingles = [shingle_set(t.as_py(), words).astype("<u8").tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shingles, pa.binary())], names=["row", "shingles"])
 
-    entries = texts.mapInArrow(sets, "row long, shingles binary").join(members, "row").select("key", "fp", "shingles")
+    entries = texts.mapInArrow(sets, f"row {kind}, shingles binary").join(members, "row").select("key", "fp", "shingles")
     entries = written(entries, "near-sets")
     weight = F.greatest(F.count("*") / tile, F.sum(F.length("shingles").cast("long")) / tile_bytes) * tile
     sizes = entries.groupBy("key").agg(F.count("*").alias("n"), weight.alias("size"))
@@ -493,26 +494,25 @@ def one_of_each_group(
     cases. That holds for texts of any length. Unrelated texts differ in 128 bits, with a deviation of 8. What the radius
     lets in below ``similarity`` the exact check turns away.
 
-    Only equal sets of shingles are one class without that check. The rows are numbered once, in a written table, and a row
-    goes by its number: other rows of its doc_id stay. Rows without a doc_id come after all others; of several with one
+    Only equal sets of shingles are one class without that check. A row goes by its key (doc_id and 128 bits of hashes of its
+    text, see ``row_key``), in one join with a narrow table: other texts of its doc_id stay. Rows without a doc_id come after all others; of several with one
     doc_id the one with the least XXH64 of its text stays, and one of several equal ones.
     """
-    number = spare_name(docs, "row")
-    rows = written(docs.select(*own_columns(docs), F.monotonically_increasing_id().alias(number)), "numbered-rows")
-    id_ = F.struct(F.isnull("doc_id").alias("no_id"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("digest"), F.col(number).alias("row"))
-    texts = rows.select(F.col(number).alias("row"), whole_text().alias("text"))
+    key = row_key()
+    texts = docs.select(key.alias("row"), whole_text().alias("text"))
 
-    def dropped() -> DataFrame:
-        found = written(sketches(rows.select(id_.alias("id"), whole_text().alias("text")), words, lanes, bands, width), "sketches")
+    def told() -> DataFrame:
+        found = written(sketches(texts.withColumnRenamed("row", "id"), words, lanes, bands, width), "sketches")
         classes = found.groupBy("fp").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"), F.first("keys").alias("keys"))
         classes = written(classes, "classes")
         entries = _shared_keys(classes)
         links = lambda _: key_links(entries, lanes, radius)
-        check = lambda linked: exact_links(texts, linked.select("fp", "root", F.col("class_id.row").alias("row")), words, lanes, radius, similarity, entries=entries)
+        check = lambda linked: exact_links(texts, linked.select("fp", "root", F.col("class_id").alias("row")), words, lanes, radius, similarity, entries=entries)
         grouped = near_components(classes, links, check)
         near = grouped.filter((F.col("component_id") != F.col("class_id")) | (F.col("class_size") > 1))
-        near = written(near.select("fp", F.col("component_id.row").alias("kept"), F.col("class_size").alias("n")), "near-classes")
-        told = with_sums(found.select("fp", F.col("id.row").alias("row")), near, "fp").filter("kept is not null and row <> kept")
-        return told.select(F.col("row").alias(number))
+        near = written(near.select("fp", F.col("component_id").alias("stays"), F.col("class_size").alias("n")), "near-classes")
+        rows = with_sums(found.select("fp", "id"), near, "fp").filter("stays is not null")
+        rows = rows.groupBy("id").agg(F.count("*").alias("n"), F.max(F.col("id") == F.col("stays")).alias("kept"))
+        return rows.filter("n > 1 or not kept")
 
-    return rows.join(settled(docs.sparkSession, dropped, "near-rows"), number, "left_anti").select(own_columns(docs))
+    return without_rows(docs, settled(docs.sparkSession, told, "near-rows"), key)
