@@ -360,8 +360,9 @@ def exact_links(
     ``similarity``; ``texts`` (row, text) has the text of each class, ``entries`` (key, fp) their keys. A tile has so many rows
     and, on average, at most so many bytes of shingles."""
     members = written(_buckets(members, entries, tile), "near-buckets")
-    asked = written(members.select("row").distinct(), "near-asked")  # the narrowest table there is picks the texts, before any is sent
-    texts = texts.join(asked, "row", "left_semi").select("row", "text").dropDuplicates(["row"])
+    # the narrowest table there is picks the texts, before any is sent: a hash of each row's key; the join with the keys follows
+    asked = written(members.select(F.xxhash64("row").alias("asked")).distinct(), "near-asked")
+    texts = texts.withColumn("asked", F.xxhash64("row")).join(asked, "asked", "left_semi").select("row", "text").dropDuplicates(["row"])
     kind = texts.schema["row"].dataType.simpleString()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
