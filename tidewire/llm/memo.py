@@ -33,7 +33,7 @@ _WORD = re.compile("( ?)([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]?
 _END = b"\0"
 
 #: Characters of texts whose units are numbered at once.
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 22
 
 #: Longest unit that is remembered, and how many units each of the two generations holds.
 LONGEST, HELD = 48, 300_000
