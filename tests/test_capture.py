@@ -42,6 +42,11 @@ def test_positions_with_halves_beyond_32_bits(spark):
     assert [None if r[0] is None else int(r[0]) for r in frame.select(lsn.lsn_number(F.col("a"))).collect()] == [b for _, b in values]
 
 
+def test_newer_positions_with_halves_beyond_32_bits(spark):
+    newer = lambda a, b: one(spark, lsn.lsn_newer(F.lit(a), F.lit(b)))[0]
+    assert newer("C0000000/11B1B42CF", "C0000000/10000") and newer("0/100000000", "0/FFFFFFFF") and not newer("0/FFFFFFFF", "0/100000000")
+
+
 def test_names():
     assert str(naming.TablePath.parse("t")) == "public.t" and str(naming.TablePath.parse("s.t")) == "s.t"
     for bad in ("a.b.c", ".t", "s.", ""):
