@@ -3,7 +3,10 @@ saved state, and capture from snapshot to log; with the SQL that gives the same
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,9 +27,16 @@ _DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
 _OWN = d.Dialect(name="embedded", prefix="jdbc:derby:", drivers=(_DRIVER,), mark='"')
 
 
+def _new_database() -> str:
+    """The address of a new embedded database in the driver's own temporary folder."""
+    folder = tempfile.mkdtemp(prefix="tidewire-database-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"jdbc:derby:{folder}/{uuid.uuid4().hex};create=true"
+
+
 def _embedded(rows: DataFrame, name: str, **more) -> JdbcOptions:
-    """``rows`` appended to a table of a new embedded database, in this process's memory."""
-    options = JdbcOptions(url=f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", table_name=name, driver=_DRIVER, **more)
+    """``rows`` appended to a table of a new embedded database."""
+    options = JdbcOptions(url=_new_database(), table_name=name, driver=_DRIVER, **more)
     jdbc.append(rows, options)
     return options
 
@@ -51,7 +61,7 @@ def scan_jdbc(spark, sf):
 @query("select s_suppkey, s_acctbal from supplier union all select s_suppkey, s_acctbal from supplier where s_suppkey <= 10")
 def table_by_options(spark, sf):
     """A table named by options alone: rows appended twice, and read."""
-    options = {"url": f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", "table-name": "suppliers", "driver": _DRIVER, "sink.buffer-flush.max-rows": "50", "scan.fetch-size": "20"}
+    options = {"url": _new_database(), "table-name": "suppliers", "driver": _DRIVER, "sink.buffer-flush.max-rows": "50", "scan.fetch-size": "20"}
     rows = _upper(table(spark, sf, "supplier").select("s_suppkey", "s_acctbal"))
     jdbc.write_table(rows, options)
     jdbc.write_table(rows.filter("S_SUPPKEY <= 10"), options)
@@ -88,7 +98,8 @@ def snapshot_jdbc_ordered(spark, sf):
 def _merged(spark, sf, ignore_null: bool) -> DataFrame:
     stored, new = _customers(spark, sf)
     options = _embedded(stored, "customers", ignore_null=ignore_null)
-    jdbc.merge_staged(new, options, ["c_custkey"], jdbc.driver_execute(spark, options.url), "staged", _OWN)
+    execute = jdbc.driver_execute(spark, options.url)
+    jdbc.merge_staged(new, options, ["c_custkey"], execute, "staged", _OWN)
     return jdbc.scan(spark, options)
 
 

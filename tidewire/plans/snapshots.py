@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources import embedded
+
 Range = tuple[int, int]
 
 
@@ -73,6 +75,7 @@ def predicates(key: str, ranges: list[Range]) -> list[str]:
 
 def read_snapshot(spark: SparkSession, url: str, table: str, key: str, n: int, properties: dict[str, str]) -> DataFrame:
     """A table by ranges of its key, or by one task where the key is no whole number."""
+    url = embedded.address(spark, url)
     plain = spark.read.jdbc(url, table, properties=properties)
     if not is_splittable(plain.schema[key].dataType):
         return plain.sort(key)

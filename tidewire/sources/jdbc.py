@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.dialect import Dialect, dialect_for
 from ..functions.options import JdbcOptions
 from ..operators.changelog import CREATED, DELETED, latest
+from . import embedded
 
 
 #: Rows of a page where automatic commits are off and no size is given.
@@ -26,8 +27,9 @@ def _properties(options: JdbcOptions) -> dict[str, str]:
 def scan(spark: SparkSession, options: JdbcOptions, custom_schema: str | None = None) -> DataFrame:
     """The table as a DataFrame. Filters, columns, limits and, with a JDBC catalog, aggregates are pushed down; with the
     options ``scan.partition.*`` it is read by so many tasks. Rows come in pages of ``scan.fetch-size``, for which Spark
-    turns automatic commits off where the database needs that; with ``scan.auto-commit`` off they always come in pages."""
-    reader = spark.read.format("jdbc").options(url=options.url, dbtable=options.table_name, **_properties(options))
+    turns automatic commits off where the database needs that; with ``scan.auto-commit`` off they always come in pages. A
+    database in the driver's process is read as it is at this call (see ``embedded``)."""
+    reader = spark.read.format("jdbc").options(url=embedded.address(spark, options.url), dbtable=options.table_name, **_properties(options))
     if fetch := options.fetch_size or (0 if options.auto_commit else FETCH):
         reader = reader.option("fetchsize", fetch)
     if custom_schema:
@@ -42,7 +44,16 @@ def scan(spark: SparkSession, options: JdbcOptions, custom_schema: str | None =
 def append(df: DataFrame, options: JdbcOptions) -> None:
     """Inserts all rows. Without a key a retried task may insert again."""
     df = df.coalesce(options.parallelism) if options.parallelism else df
-    df.write.format("jdbc").options(url=options.url, dbtable=options.table_name, batchsize=options.buffer_rows, **_properties(options)).mode("append").save()
+    _insert(df, options, options.table_name, "append")
+
+
+def _insert(df: DataFrame, options: JdbcOptions, table: str, mode: str) -> None:
+    """Rows into a table that is made if need be; from the driver if only that reaches the database."""
+    here = embedded.in_driver(df.sparkSession, options.url)
+    rows = df.limit(0) if here else df  # the table alone
+    rows.write.format("jdbc").options(url=options.url, dbtable=table, batchsize=options.buffer_rows, **_properties(options)).mode(mode).save()
+    if here:
+        embedded.insert(df, options.url, table, _properties(options), options.buffer_rows)
 
 
 #: Gives a DB-API connection, on an executor.
@@ -145,23 +156,13 @@ def merge_staged(
 ) -> None:
     """Upserts by way of a staging table and one MERGE: one statement at the server, however many rows there are."""
     dialect = dialect or dialect_for(options.url)
-    rows.write.format("jdbc").options(url=options.url, dbtable=staging, **_properties(options)).mode("overwrite").save()
+    _insert(rows, options, staging, "overwrite")
     execute(dialect.merge(options.table_name, staging, rows.columns, keys, options.ignore_null))
 
 
 def driver_execute(spark: SparkSession, url: str) -> Callable[[str], None]:
     """Executes SQL from the driver's JVM."""
-
-    def run(sql: str) -> None:
-        connection = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url)
-        try:
-            statement = connection.createStatement()
-            statement.execute(sql)
-            statement.close()
-        finally:
-            connection.close()
-
-    return run
+    return lambda sql: embedded.execute(spark, url, sql)
 
 
 def keyset_pages(
