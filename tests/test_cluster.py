@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 
 from conftest import HERE, SF
 
-NAMES = ["scan_jdbc", "scan_jdbc_pushdown"]
+NAMES = ["scan_jdbc", "scan_jdbc_pushdown", "snapshot_jdbc_ordered"]
 SCRIPT = """
 import json, os, sys
 sys.path.insert(0, sys.argv[1])
