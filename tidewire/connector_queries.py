@@ -99,6 +99,7 @@ def _merged(spark, sf, ignore_null: bool) -> DataFrame:
     stored, new = _customers(spark, sf)
     options = _embedded(stored, "customers", ignore_null=ignore_null)
     execute = jdbc.driver_execute(spark, options.url)
+    execute('CREATE UNIQUE INDEX customers_key ON customers ("c_custkey")')  # a table that is merged into by key has one
     jdbc.merge_staged(new, options, ["c_custkey"], execute, "staged", _OWN)
     return jdbc.scan(spark, options)
 
