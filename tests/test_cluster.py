@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 
 from conftest import HERE, SF
 
-NAMES = ["scan_jdbc", "scan_jdbc_pushdown", "snapshot_jdbc_ordered", "sink_jdbc_merge", "snapshot_jdbc_ranges", "scan_jdbc_partitioned", "sink_jdbc_merge_ignore_null"]
+NAMES = ["scan_jdbc", "scan_jdbc_pushdown", "snapshot_jdbc_ordered", "sink_jdbc_merge", "snapshot_jdbc_ranges", "scan_jdbc_partitioned", "sink_jdbc_merge_ignore_null", "table_by_options"]
 SCRIPT = """
 import json, os, sys
 sys.path.insert(0, sys.argv[1])
