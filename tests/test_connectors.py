@@ -317,6 +317,29 @@ def test_snapshot_then_log_and_acknowledgement(server):
     assert [x[4] for x in more[0][0]] == ["BEGIN 9", "COMMIT 9 CSN 9"]
 
 
+def test_file_log_goes_on_behind_what_was_acknowledged(tmp_path, monkeypatch):
+    lines = [{"pos": k, "lsn": f"0/{k:X}", "xid": 1, "data": str(k)} for k in (1, 3, 2, 4, 6, 5, 7, 8, 9)]
+    (tmp_path / "a.json").write_text("".join(json.dumps(x) + "\n" for x in lines[:5]))
+    (tmp_path / "b.json").write_text("".join(json.dumps(x) + "\n" for x in lines[5:]))
+    parsed, loads = [], transport.json.loads
+    monkeypatch.setattr(transport.json, "loads", lambda text: parsed.append(1) or loads(text))
+    t = transport.FileTransport(str(tmp_path))
+    assert [r[0] for r in t.read(0, 3)] == [1, 3, 2]
+    t.ack("0/2")  # 3 stays
+    assert [r[0] for r in t.read(1, 3)] == [4, 6, 5] and len(parsed) == 6
+    t.ack("0/5")  # 6 stays
+    assert [r[0] for r in t.read(1, 9)] == [7, 8, 9] and len(parsed) == 9
+    assert [r[0] for r in t.read(0, 9)] == [6, 7, 8, 9]  # asked from the front again
+
+
+def test_snapshot_pages_fill_a_batch(server):
+    batches, end = drain(r := reader(maxRowsPerBatch="4"), r.initialOffset())
+    assert [len(b) for b, _ in batches][:2] == [4, 1] and [x[1] for b, _ in batches for x in b] == list(range(12))
+    assert [x[1] for x in reader(maxRowsPerBatch="4").readBetweenOffsets(r.initialOffset(), batches[0][1])] == [0, 1, 2, 3]
+    rows, _ = reader(maxRowsPerBatch="4").read(batches[0][1])
+    assert [x[1] for x in rows] == [4]
+
+
 def test_restart_before_and_after_acknowledgement(server):
     r = reader(**{"snapshot.mode": "false"})
     batches, _ = drain(r, r.initialOffset())

@@ -41,37 +41,45 @@ class Transport(Protocol):
 
 class FileTransport:
     """Replays a folder of files with a JSON object (pos, lsn, xid, data) on each line, in the order of their names. A read that
-    goes on where the last one ended does not start from the front again."""
+    goes on where the last one ended does not start from the front again, whatever was acknowledged in between."""
 
     def __init__(self, folder: str):
         self.folder, self.acked = Path(folder.removeprefix("file://").removeprefix("file:")), ""
-        self._mark: tuple[int, str, int] = (0, "", 0)  # rows behind the position, and the file and byte behind the last of them
+        self._rewind()
+
+    def _rewind(self) -> None:
+        self._held: list[int] = []  # positions of the rows that were read behind the acknowledged one
+        self._place: tuple[str, int] = ("", 0)  # the file and byte behind the last of them
 
     def open(self, start_lsn: str | None = None) -> None:
-        self.acked, self._mark = start_lsn or "", (0, "", 0)
+        self.acked = start_lsn or ""
+        self._rewind()
 
     def files(self) -> list[Path]:
         return sorted(p for p in self.folder.glob("*.json*") if not p.name.startswith((".", "_")))
 
     def read(self, after: int, limit: int) -> list[Row]:
-        done, (n, name, at) = lsn_to_int(self.acked), self._mark
-        if n > after:
-            n, name, at = 0, "", 0
+        if len(self._held) > after:
+            self._rewind()
+        done, (name, at) = lsn_to_int(self.acked), self._place
         rows: list[Row] = []
         for path in self.files():
             if path.name < name:
                 continue
             with path.open("rb") as lines:
-                lines.seek(at if path.name == name else 0)
+                start = at if path.name == name else 0
+                lines.seek(start)
                 while len(rows) < limit and (line := lines.readline()):
                     if not line.endswith(b"\n"):  # still being written
                         break
+                    start += len(line)
                     r = json.loads(line)
-                    if done is None or (lsn_to_int(r["lsn"]) or 0) > done:
-                        n += 1
-                        if n > after:
+                    place = lsn_to_int(r["lsn"]) or 0
+                    if done is None or place > done:
+                        self._held.append(place)
+                        if len(self._held) > after:
                             rows.append((r["pos"], r["lsn"], r["xid"], r["data"]))
-                    self._mark = (n, path.name, lines.tell())
+                    self._place = (path.name, start)
             if len(rows) >= limit:
                 break
         return rows
@@ -80,11 +88,13 @@ class FileTransport:
         return self.acked or "0/0"
 
     def ack(self, lsn: str) -> None:
-        if (lsn_to_int(lsn) or -1) > (lsn_to_int(self.acked) or -1):
-            self.acked, self._mark = lsn, (0, "", 0)
+        done = lsn_to_int(lsn) or -1
+        if done > (lsn_to_int(self.acked) or -1):
+            self.acked, self._held = lsn, [x for x in self._held if x > done]
 
     def drop(self) -> None:
-        self.acked, self._mark = "", (0, "", 0)
+        self.acked = ""
+        self._rewind()
 
     def close(self) -> None:
         pass

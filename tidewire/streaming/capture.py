@@ -172,14 +172,15 @@ class ChangeReader(SimpleDataSourceStreamReader):
             lsn = self.transport.prepare_slot() if self.options.snapshot_mode else "0/0"
             at = {"phase": "snapshot" if self.options.snapshot_mode else "log", "pos": 0, "lsn": lsn, "table": 0, "key": None, "after": 0}
         if at["phase"] == "snapshot":
-            names = self.tables.names()
-            while at["table"] < len(names):
-                records, key = self.tables.page(names[at["table"]], at["key"], self.options.chunk_size)
-                rows = [(self.options.slot_name, at["pos"] + k, at["lsn"], SNAPSHOT_XID, r) for k, r in enumerate(records)]
-                last = len(rows) < self.options.chunk_size
-                at |= {"pos": at["pos"] + len(rows), "table": at["table"] + last, "key": None if last else key}
-                if rows:
-                    return iter(rows), at
+            names, size = self.tables.names(), self.options.chunk_size
+            found: list[tuple] = []
+            while at["table"] < len(names) and (not found or len(found) + size <= self.most):  # pages, as a batch holds them whole
+                records, key = self.tables.page(names[at["table"]], at["key"], size)
+                found += [(self.options.slot_name, at["pos"] + k, at["lsn"], SNAPSHOT_XID, r) for k, r in enumerate(records)]
+                last = len(records) < size
+                at |= {"pos": at["pos"] + len(records), "table": at["table"] + last, "key": None if last else key}
+            if found:
+                return iter(found), at
             at |= {"phase": "log", "table": 0, "key": None}
         self._resume(at)
         rows = self._log(len(self.behind), self.most)
