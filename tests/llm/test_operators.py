@@ -977,3 +977,14 @@ def test_pipeline(spark):
     assert len(texts) == len(set(texts)) <= documents.count()
     packed = corpus_pipeline.run(spark, sf)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_a_worker_gives_memory_back_at_the_end(monkeypatch):
+    from types import SimpleNamespace
+
+    from tidewire.llm import shared
+
+    trimmed = []
+    monkeypatch.setattr(shared, "ctypes", SimpleNamespace(CDLL=lambda _: SimpleNamespace(malloc_trim=trimmed.append)))
+    batches = [1, 2, 3]
+    assert list(shared.released(lambda own: (2 * b for b in own))(iter(batches))) == [2, 4, 6] and trimmed == [0]

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .mph import mix
-from .shared import scratch, whole_text, written
+from .shared import released, scratch, whole_text, written
 
 BUCKETS, SAMPLE, SEED = 1 << 12, 20_000, 20240
 #: N-grams a bucket that the raw model lends to the target model, so that rare buckets weigh little.
@@ -88,7 +88,7 @@ def bucket_counts(docs: DataFrame) -> DataFrame:
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["bucket", "n"])
 
-    return docs.select(whole_text().alias("text")).mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return docs.select(whole_text().alias("text")).mapInArrow(released(run), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
 def _vector(counts: DataFrame) -> np.ndarray:
@@ -137,7 +137,7 @@ def weights(docs: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), *_weigh(*batch.columns, sent.value, seed)], names=["doc_id", "n_grams", "log_weight", "key"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(run, "doc_id long, n_grams long, log_weight double, key double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(released(run), "doc_id long, n_grams long, log_weight double, key double")
 
 
 def weight_of(ratios: np.ndarray, spark: SparkSession, seed: int = SEED) -> Column:

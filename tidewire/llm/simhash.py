@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .mph import mix
-from .shared import join_small, row_key, settled, whole_text, with_sums, without_rows, written
+from .shared import join_small, released, row_key, settled, whole_text, with_sums, without_rows, written
 
 SEED = 42
 #: Rows of a bucket that one task compares with each other.
@@ -59,7 +59,7 @@ EXACT_TILE = 512
 EXACT_BYTES = 8 << 20
 _CHUNK = 1 << 14
 #: Words of a plane, over all lags, that are compared at once; and shingles that are numbered at once.
-_WORDS, _MARKED = 1 << 12, 1 << 20
+_WORDS, _MARKED = 1 << 12, 1 << 19
 #: Shingles that are hashed at once for a sketch, and bytes of a set's digest.
 _HASHED, _DIGEST = 256, 16
 #: Texts that are sketched at once.
@@ -104,7 +104,7 @@ def fingerprints(docs: DataFrame, words: int = 3, lanes: int = 1) -> DataFrame:
             found = [_bytes(fingerprint(t.as_py(), words, lanes)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(run, "doc_id long, fp binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(released(run), "doc_id long, fp binary")
 
 
 def block_keys(bits: int, radius: int, chosen: int) -> list[int]:
@@ -158,7 +158,7 @@ def sketches(docs: DataFrame, words: int, lanes: int, bands: int, width: int) ->
                 keys = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary()), keys], names=["id", "fp", "keys"])
 
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, fp binary, keys array<long>")
+    return docs.select("id", "text").mapInArrow(released(run), f"id {kind}, fp binary, keys array<long>")
 
 
 def _shared_keys(classes: DataFrame) -> DataFrame:
@@ -324,7 +324,7 @@ def class_links(classes: DataFrame, masks: list[int], lanes: int, radius: int, t
                         key = mix((rows[:, lane] & mask[lane]) ^ mix(key, int(lane) + 2), 1)
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), fps], names=["key", "fp"])
 
-    return key_links(written(classes.mapInArrow(keys, "key long, fp binary"), "keys"), lanes, radius, tile)
+    return key_links(written(classes.mapInArrow(released(keys), "key long, fp binary"), "keys"), lanes, radius, tile)
 
 
 def key_links(entries: DataFrame, lanes: int, radius: int, tile: int = TILE) -> DataFrame:
@@ -370,7 +370,7 @@ def exact_links(
             shingles = [shingle_set(t.as_py(), words).astype("<u8").tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shingles, pa.binary())], names=["row", "shingles"])
 
-    entries = texts.mapInArrow(sets, f"row {kind}, shingles binary").join(members, "row").select("key", "fp", "shingles")
+    entries = texts.mapInArrow(released(sets), f"row {kind}, shingles binary").join(members, "row").select("key", "fp", "shingles")
     entries = written(entries, "near-sets")
     weight = F.greatest(F.count("*") / tile, F.sum(F.length("shingles").cast("long")) / tile_bytes) * tile
     sizes = entries.groupBy("key").agg(F.count("*").alias("n"), weight.alias("size"))
@@ -418,7 +418,7 @@ def _tiled_links(entries: DataFrame, sizes: DataFrame, lanes: int, radius: int,
             yield pa.RecordBatch.from_arrays([fps.take(a), fps.take(b)], names=["a", "b"])
 
     dealt = tiles.repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2", "fp")
-    return dealt.mapInArrow(compare, "a binary, b binary").distinct()
+    return dealt.mapInArrow(released(compare), "a binary, b binary").distinct()
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
