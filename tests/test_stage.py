@@ -68,3 +68,18 @@ def test_tables_on_the_way_are_dropped(spark):
     with pytest.raises(ZeroDivisionError):
         stage.settled(spark, lambda: 1 / 0, "broken")
     assert not stage._SCOPES
+
+
+def test_rows_at_once(spark):
+    """Whole texts go to Python in small batches, and the session's own size stands again afterwards."""
+    import pyarrow as pa
+
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches)
+    rows = spark.range(0, 3500, 1, 1).mapInArrow(sizes, "n long")
+    assert sorted(r.n for r in stage.written(rows, "sizes", 1000).collect()) == [500, 1000, 1000, 1000] and spark.conf.get(conf) == before
+    with pytest.raises(ZeroDivisionError), stage.rows_at_once(spark, 10):
+        assert spark.conf.get(conf) == "10"
+        raise ZeroDivisionError
+    assert spark.conf.get(conf) == before

@@ -114,34 +114,34 @@ class UnitEncoder:
             return b"".join(map(self._units.__getitem__, _UNIT.findall(text)))
         return None
 
-    def encode_all(self, texts: Iterable[str], width: int) -> Iterator[bytes]:
-        """The ids of each text, ``width`` bytes an id. Texts are taken together until they have so many characters; their units
+    def encode_all(self, texts: Iterable[str], width: int, at_once: int | None = None) -> Iterator[bytes]:
+        """The ids of each text, ``width`` bytes an id. Texts are taken together until they have ``at_once`` characters; their units
         are numbered at once, each different one is looked up once, and the ids are put together by those numbers."""
         held: list[tuple[bytes | None, str, int]] = []
-        size = 0
+        size, at_once = 0, at_once or AT_ONCE
         for text in texts:
             found = self._odd(text)
             if found is None:
                 first, _, rest = text.replace("\n", " \n").partition(" ")
-                if len(rest) > AT_ONCE:
+                if len(rest) > at_once:
                     yield from self._together(held, width)
                     held, size = [], 0
-                    yield self._units[first] + b"".join(self._cut(rest, width))
+                    yield self._units[first] + b"".join(self._cut(rest, width, at_once))
                     continue
                 held.append((self._units[first], rest, rest.count(" ") + 1 if rest else 0))
                 size += len(rest)
             else:
                 held.append((found, "", 0))
-            if size >= AT_ONCE:
+            if size >= at_once:
                 yield from self._together(held, width)
                 held, size = [], 0
         yield from self._together(held, width)
 
-    def _cut(self, rest: str, width: int) -> Iterator[bytes]:
+    def _cut(self, rest: str, width: int, at_once: int) -> Iterator[bytes]:
         """A long text, so many characters and the unit that they end in at a time."""
         at = 0
         while at < len(rest):
-            stop = rest.find(" ", at + AT_ONCE)
+            stop = rest.find(" ", at + at_once)
             part = rest[at:] if stop < 0 else rest[at:stop]
             yield from self._together([(b"", part, part.count(" ") + 1)], width)
             at += len(part) + 1

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .memo import encoder, rank_order_suffices, texts_of
-from .shared import released, whole_text, written
+from .shared import TEXTS_AT_ONCE, released, whole_text, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -47,7 +47,7 @@ def cut(n_tokens: int, capacity: int) -> list[tuple[int, int]]:
     return [(s, first if s == 0 and first else capacity) for s in starts]
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, at_once: int | None = None) -> DataFrame:
     """A row for each piece, with its partition and its rank there among the pieces of its length."""
 
     by_rank = rank_order_suffices(tokenizer)
@@ -57,7 +57,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, found in zip(batch.column(0).to_pylist(), encode(texts_of(batch), 4), strict=True):
+            for doc_id, found in zip(batch.column(0).to_pylist(), encode(texts_of(batch), 4, at_once), strict=True):
                 ids = memoryview(found + end)
                 for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     rows.append((doc_id, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), part, seen[length]))
@@ -178,9 +178,10 @@ def plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
-    """Packs every document; a row for each piece, with its sequence and its offset there."""
-    cut_up = written(pieces(docs, tokenizer, capacity, end_id), "pieces")
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, at_once: int | None = None) -> DataFrame:
+    """Packs every document; a row for each piece, with its sequence and its offset there. Texts are encoded together up to
+    ``at_once`` characters: fewer take less memory and some more time."""
+    cut_up = written(pieces(docs, tokenizer, capacity, end_id, at_once), "pieces", TEXTS_AT_ONCE)
     counts = cut_up.groupBy("part", "length").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     steps = docs.sparkSession.sparkContext.broadcast(plan(histogram, capacity))

@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.stage import join_small, own_columns, quoted, scratch, settled, shared_path, spare_name, with_sums, written
+from ..plans.stage import TEXTS_AT_ONCE, join_small, own_columns, quoted, scratch, settled, shared_path, spare_name, with_sums, written
 
-__all__ = ["join_small", "own_columns", "quoted", "released", "row_key", "scratch", "settled", "shared_path", "spare_name", "whole_text", "with_sums", "without_rows", "written"]
+__all__ = ["TEXTS_AT_ONCE", "join_small", "own_columns", "quoted", "released", "row_key", "scratch", "settled", "shared_path", "spare_name", "whole_text", "with_sums", "without_rows", "written"]
 
 
 def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

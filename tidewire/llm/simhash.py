@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .mph import mix
-from .shared import join_small, released, row_key, settled, whole_text, with_sums, without_rows, written
+from .shared import TEXTS_AT_ONCE, join_small, released, row_key, settled, whole_text, with_sums, without_rows, written
 
 SEED = 42
 #: Rows of a bucket that one task compares with each other.
@@ -371,7 +371,7 @@ def exact_links(
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shingles, pa.binary())], names=["row", "shingles"])
 
     entries = texts.mapInArrow(released(sets), f"row {kind}, shingles binary").join(members, "row").select("key", "fp", "shingles")
-    entries = written(entries, "near-sets")
+    entries = written(entries, "near-sets", TEXTS_AT_ONCE)
     weight = F.greatest(F.count("*") / tile, F.sum(F.length("shingles").cast("long")) / tile_bytes) * tile
     sizes = entries.groupBy("key").agg(F.count("*").alias("n"), weight.alias("size"))
     return _tiled_links(entries, written(sizes, "near-sizes"), lanes, radius, tile, similarity)
@@ -503,7 +503,7 @@ def one_of_each_group(
     texts = docs.select(key.alias("row"), whole_text().alias("text"))
 
     def told() -> DataFrame:
-        found = written(sketches(texts.withColumnRenamed("row", "id"), words, lanes, bands, width), "sketches")
+        found = written(sketches(texts.withColumnRenamed("row", "id"), words, lanes, bands, width), "sketches", TEXTS_AT_ONCE)
         classes = found.groupBy("fp").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"), F.first("keys").alias("keys"))
         classes = written(classes, "classes")
         entries = _shared_keys(classes)

@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,10 +71,30 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Rows that go to a Python worker at once where they are whole texts. Executor and worker each hold some batches.
+TEXTS_AT_ONCE = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def rows_at_once(spark: SparkSession, n: int) -> Iterator[None]:
+    """What runs in this block sends so many rows to a Python worker at once, or as many as the session says if those are fewer."""
+    before = spark.conf.get(_BATCH)
+    if 0 < int(before) <= n:
+        yield
+        return
+    spark.conf.set(_BATCH, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
+def written(df: DataFrame, name: str, at_once: int | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage ends there, and a lost executor loses none of it."""
     spark, path = df.sparkSession, shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with rows_at_once(spark, at_once) if at_once else nullcontext():
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
