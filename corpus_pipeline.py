@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewire.llm import packing, quality, radix_dedup, simhash
-from tidewire.llm.shared import written
+from tidewire.llm.shared import TEXTS_AT_ONCE, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece of each document, with its sequence and its offset there."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), at_once=1 << 20)  # executors hold what earlier stages left
+    # in small parts, as executors hold what earlier stages left
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), at_once=1 << 20, rows_at_once=TEXTS_AT_ONCE)
 
 
 STAGES = [("quality", quality_stage), ("exact_dedup", exact_stage), ("near_dedup", near_stage), ("packing", packing_stage)]

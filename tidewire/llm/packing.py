@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .memo import encoder, rank_order_suffices, texts_of
-from .shared import TEXTS_AT_ONCE, released, whole_text, written
+from .shared import released, whole_text, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -178,10 +178,10 @@ def plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, at_once: int | None = None) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, at_once: int | None = None, rows_at_once: int | None = None) -> DataFrame:
     """Packs every document; a row for each piece, with its sequence and its offset there. Texts are encoded together up to
-    ``at_once`` characters: fewer take less memory and some more time."""
-    cut_up = written(pieces(docs, tokenizer, capacity, end_id, at_once), "pieces", TEXTS_AT_ONCE)
+    ``at_once`` characters, and go to a worker ``rows_at_once`` rows at a time: fewer take less memory and more time."""
+    cut_up = written(pieces(docs, tokenizer, capacity, end_id, at_once), "pieces", rows_at_once)
     counts = cut_up.groupBy("part", "length").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     steps = docs.sparkSession.sparkContext.broadcast(plan(histogram, capacity))
